@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import encode_documents
 from .chat import chat_digests, format_chats
 from .common import read_table
 from .sharding import shard_documents
@@ -24,10 +25,21 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+def vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> tuple[str, str]:
+    """Path and pattern of an installed public vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name), public_tokenizers.PATTERN
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(read_table(spark, sf_dir, "documents"), *vocabulary())
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels")
     bad = labels.select(F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int").alias("bad"))
     return judge(read_table(spark, sf_dir, "pages"), RULES, bad).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op3_sharding": op3_sharding, "op6_url_filter": op6_url_filter}
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op3_sharding": op3_sharding, "op5_bpe": op5_bpe, "op6_url_filter": op6_url_filter}
