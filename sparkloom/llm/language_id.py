@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bounds of the training sample: texts and characters of a language, characters taken from the start of one text,
 #: languages (the most frequent).
@@ -101,7 +102,6 @@ class Model:
         return [parse_table(x) for x in self.symbols]
 
 
-
 def fit(texts: dict[str, list[str]]) -> Model:
     """A model of the given texts by language. Languages without any letter are left out."""
     joined = {}
@@ -230,5 +230,5 @@ def identify(docs: DataFrame, train: DataFrame | None = None) -> DataFrame:
             langs, scores = predict(batch.column(at).to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
 
-    schema = docs.schema.add("lang_pred", "string").add("score", "double")
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return docs.mapInArrow(run, schema)
