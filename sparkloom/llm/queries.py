@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_documents
 from .chat import chat_digests, format_chats
 from .common import read_table
+from .jaccard_join import jaccard_components
 from .language_id import held_out, identify
 from .sharding import shard_documents
 from .url_filter import judge
@@ -43,9 +44,13 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read_table(spark, sf_dir, "pages"), RULES, bad).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return identify(docs.select("doc_id", "text"), train=docs).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op3_sharding": op3_sharding, "op5_bpe": op5_bpe, "op6_url_filter": op6_url_filter, "op10_language_id": op10_language_id}
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op3_sharding": op3_sharding, "op5_bpe": op5_bpe, "op6_url_filter": op6_url_filter, "op7_jaccard_join": op7_jaccard_join, "op10_language_id": op10_language_id}
