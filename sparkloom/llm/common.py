@@ -95,6 +95,23 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.col("m").alias("component")).union(e.select("v", "v").distinct())
 
 
+#: Bits of a filter of ids: 4 MB, whatever the corpus. Fuller filters let more through and lose nothing.
+FILTER_BITS = 1 << 25
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size that has a bit for each of ``ids(id)``: a filter that lets all of them through."""
+    words = ids.select(F.expr(f"(id & {FILTER_BITS - 1}) div 64").alias("w"), F.expr("shiftleft(1L, cast(id & 63 as int))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits"))
+    got = words.toArrow()  # at most FILTER_BITS / 64 rows
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[got["w"].to_numpy()] = got["bits"].to_numpy()
+    return out
+
+
+def in_filter(bits: np.ndarray, i: int) -> bool:
+    return bool(int(bits[(i & (FILTER_BITS - 1)) // 64]) >> (i & 63) & 1)
+
+
 # ---- hashing of bytes, words and shingles with numpy (64 bits, wrapping) ----
 
 _RNG = np.random.Generator(np.random.PCG64(20240607))

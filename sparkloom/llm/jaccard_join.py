@@ -22,12 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, mix, partitions, shingle_hashes, text_words, written
+from .common import FILTER_BITS, components, id_filter, in_filter, mix, partitions, shingle_hashes, text_words, written
 
 #: Threshold as a fraction of integers, shingle length in words.
 NUM, DEN, WORDS = 80, 100, 5
-#: Bits of the map of frequent shingles and of the filter of texts to verify: 4 MB each, whatever the corpus.
-FILTER_BITS = 1 << 25
 #: A shingle in the prefixes of more texts than this counts as frequent and goes last in the order.
 FREQUENT = 64
 #: Entries of the inverted lists that one task holds, about.
@@ -353,19 +351,6 @@ def _scan(n: np.ndarray, own: np.ndarray, bits: list[bytes], num: int, den: int)
     return np.concatenate(out_i), np.concatenate(out_j)
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size that has a bit for each of ``ids(id)``: a filter that lets all of them through."""
-    words = ids.select(F.expr(f"(id & {FILTER_BITS - 1}) div 64").alias("w"), F.expr("shiftleft(1L, cast(id & 63 as int))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits"))
-    got = words.toArrow()  # at most FILTER_BITS / 64 rows
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[got["w"].to_numpy()] = got["bits"].to_numpy()
-    return out
-
-
-def in_filter(bits: np.ndarray, i: int) -> bool:
-    return bool(int(bits[(i & (FILTER_BITS - 1)) // 64]) >> (i & 63) & 1)
-
-
 def _entries(docs: DataFrame, count: int, shared, boundary: int, salt: int, num: int, den: int, only=None) -> DataFrame:
     """Packed entries of the inverted lists; ``only``: a broadcast filter of class ids. A task gives out each class once."""
 

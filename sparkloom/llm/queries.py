@@ -11,6 +11,7 @@ from .common import read_table
 from .jaccard_join import jaccard_components
 from .language_id import held_out, identify
 from .sharding import shard_documents
+from .substring_dedup import dedup_substrings
 from .url_filter import judge
 
 ODD_CHAT = "\\### Assistant: </turn> ok"
@@ -48,9 +49,13 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return identify(docs.select("doc_id", "text"), train=docs).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op3_sharding": op3_sharding, "op5_bpe": op5_bpe, "op6_url_filter": op6_url_filter, "op7_jaccard_join": op7_jaccard_join, "op10_language_id": op10_language_id}
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op3_sharding": op3_sharding, "op5_bpe": op5_bpe, "op6_url_filter": op6_url_filter, "op7_jaccard_join": op7_jaccard_join, "op9_substring_dedup": op9_substring_dedup, "op10_language_id": op10_language_id}
