@@ -220,16 +220,14 @@ class Coder(dict):
         return b"".join(map(self.by_text.__getitem__, ids.split(","))) if ids else b""
 
 
-_CODERS: dict = {}
+_HELD: list = [None, None]
 
 
 def _coder(shared) -> Coder:
     """One coder for each worker process and vocabulary."""
-    key = shared.id if hasattr(shared, "id") else id(shared)
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Coder(*shared.value)
-    return _CODERS[key]
+    if _HELD[0] is not shared:
+        _HELD[:] = [shared, Coder(*shared.value)]
+    return _HELD[1]
 
 
 def load_vocabulary(spark: SparkSession, path: str, pattern: str):

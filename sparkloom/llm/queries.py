@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_documents
 from .chat import chat_digests, format_chats
 from .common import read_table
+from .decontaminate import contaminated
 from .jaccard_join import jaccard_components
 from .language_id import held_out, identify
 from .sharding import shard_documents
@@ -49,6 +50,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -58,4 +63,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.select("doc_id", "text"), train=docs).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op3_sharding": op3_sharding, "op5_bpe": op5_bpe, "op6_url_filter": op6_url_filter, "op7_jaccard_join": op7_jaccard_join, "op9_substring_dedup": op9_substring_dedup, "op10_language_id": op10_language_id}
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op3_sharding": op3_sharding, "op5_bpe": op5_bpe, "op6_url_filter": op6_url_filter, "op7_jaccard_join": op7_jaccard_join, "op8_decontamination": op8_decontamination, "op9_substring_dedup": op9_substring_dedup, "op10_language_id": op10_language_id}
