@@ -9,11 +9,13 @@ from .bpe import encode_documents
 from .chat import chat_digests, format_chats
 from .common import read_table
 from .decontaminate import contaminated
+from .embedding_dedup import near_duplicates
 from .jaccard_join import jaccard_components
 from .language_id import held_out, identify
 from .sharding import shard_documents
 from .substring_dedup import dedup_substrings
 from .url_filter import judge
+from .warc import archive_and_read
 
 ODD_CHAT = "\\### Assistant: </turn> ok"
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -25,10 +27,18 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(format_chats(turns.unionByName(odd)))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_and_read(read_table(spark, sf_dir, "pages")).drop("payload", "url")
+
+
 def vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> tuple[str, str]:
     """Path and pattern of an installed public vocabulary."""
     import public_tokenizers
@@ -63,4 +73,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.select("doc_id", "text"), train=docs).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op3_sharding": op3_sharding, "op5_bpe": op5_bpe, "op6_url_filter": op6_url_filter, "op7_jaccard_join": op7_jaccard_join, "op8_decontamination": op8_decontamination, "op9_substring_dedup": op9_substring_dedup, "op10_language_id": op10_language_id}
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op2_embedding_dedup": op2_embedding_dedup, "op3_sharding": op3_sharding, "op4_warc": op4_warc, "op5_bpe": op5_bpe, "op6_url_filter": op6_url_filter, "op7_jaccard_join": op7_jaccard_join, "op8_decontamination": op8_decontamination, "op9_substring_dedup": op9_substring_dedup, "op10_language_id": op10_language_id}

@@ -26,4 +26,32 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM f GROUP BY conv_id
 """
 
-ORACLE_SQL = {"op1_chat_formatting": OP1}
+OP2 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e,
+    label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok
+  FROM embeddings
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.ok AND b.ok AND list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98
+), r(a, b) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+)
+SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.a = v.vec_id)::BIGINT AS n_links, min(r.b)::BIGINT AS component_id,
+  v.vec_id = min(r.b) AS kept
+FROM v JOIN r ON r.a = v.vec_id GROUP BY v.vec_id
+"""
+
+OP4 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS n, sha256(body) AS digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first, count(*) OVER (PARTITION BY digest) AS copies FROM d)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 100 AND copies > 1 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND copies > 1 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+ORACLE_SQL = {"op1_chat_formatting": OP1, "op2_embedding_dedup": OP2, "op4_warc": OP4}
