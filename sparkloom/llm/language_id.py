@@ -80,10 +80,12 @@ def suffix_automaton(symbols: list[int]) -> np.ndarray:
 
 def parse_table(symbols: list[int]) -> np.ndarray:
     """For state * SYMBOLS + symbol: next state * SYMBOLS * 2 + (1 if a new phrase begins). Where the automaton has no
-    transition, the symbol begins a new phrase from the start."""
+    transition, the symbol begins a new phrase from the start. In the last state, which is where a parse begins and where a symbol
+    that the language lacks leads, every symbol begins a phrase."""
     auto = suffix_automaton(symbols)
-    fresh = np.where(auto[0] >= 0, auto[0], 0) * SYMBOLS * 2 + 1
-    return np.where(auto >= 0, auto * SYMBOLS * 2, fresh[None, :]).astype(np.int32).ravel()
+    fresh = np.where(auto[0] >= 0, auto[0], len(auto)) * SYMBOLS * 2 + 1
+    known = np.where(auto >= 0, auto * SYMBOLS * 2, fresh[None, :])
+    return np.concatenate((known, fresh[None, :])).astype(np.int32).ravel()
 
 
 @dataclass
@@ -159,8 +161,8 @@ def cross_parse(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.n
     order = np.argsort(-np.array(sizes), kind="stable")
     owner, start, size = np.array(owners)[order], np.array(starts)[order], np.array(sizes)[order]
     lanes = np.searchsorted(-size, -np.arange(1, size[0] + 1), side="right")  # how many segments have a j-th symbol
-    states = [np.zeros(len(owner), np.int32) for _ in model.languages]
-    phrases = [np.ones(len(owner), np.int32) for _ in model.languages]
+    states = [np.full(len(owner), len(table) - SYMBOLS, np.int32) for table in model.tables]
+    phrases = [np.zeros(len(owner), np.int32) for _ in model.languages]
     for j in range(size[0]):
         k = lanes[j]
         c = flat[start[:k] + j]
