@@ -54,4 +54,56 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
 FROM f
 """
 
-ORACLE_SQL = {"op1_chat_formatting": OP1, "op2_embedding_dedup": OP2, "op4_warc": OP4}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP7 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.b)::BIGINT AS component_id
+FROM documents d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+def _op6() -> str:
+    """The templates level by level, as ``url_filter.templates`` makes them."""
+    from .url_filter import DEPTH, PRIOR, REJECT, THIN, VARIABLE, WIDE, Z
+
+    form = "CASE " + " ".join(f"WHEN regexp_matches(SEGMENT, '{p}') THEN '{w}'" for p, w in VARIABLE) + " ELSE SEGMENT END"
+    levels = [f"l{i}" for i in range(DEPTH)]
+    seg = [form.replace("SEGMENT", f"coalesce(p[{i + 1}], '')") for i in range(DEPTH)]
+    seg[-1] = f"CASE WHEN len(p) > {DEPTH} THEN '**' ELSE {seg[-1]} END"
+    keys = ", ".join(levels)
+    rules = "CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1' WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/' WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/' WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/' WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END"
+    parts = [
+        "u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '" + UPPER + "', '" + LOWER + "') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages)",
+        "g AS (SELECT doc_id AS page_id, max((toxic = 1 OR quality = 0)::INT) AS bad FROM labels GROUP BY 1)",
+        f"q AS (SELECT u.*, bad, {rules} AS rule, list_filter(string_split(path, '/'), lambda s: s <> '') AS p FROM u LEFT JOIN g ON g.page_id = u.page_id)",
+        "b AS (SELECT page_id, host, path, rule, bad, " + ", ".join(f"{x} AS {name}" for x, name in zip(seg, levels, strict=True)) + " FROM q)",
+        f"t0 AS (SELECT host, {keys}, '' AS template, count(*) AS n, count(bad) AS lab, coalesce(sum(bad), 0) AS bad FROM b GROUP BY host, {keys})",
+    ]
+    for i, name in enumerate(levels):
+        p = "(nb::DOUBLE / nl)"
+        like = f"(bl = 0 OR nl = 0 OR abs(bb::DOUBLE / bl - {p}) <= {Z} * sqrt({p} * (1 - {p}) / bl))"
+        parts += [
+            f"r{i} AS (SELECT host, template, {name}, sum(n) AS bn, sum(lab) AS bl, sum(bad) AS bb FROM t{i} GROUP BY 1, 2, 3)",
+            f"n{i} AS (SELECT host, template, count(*) AS nk, sum(bn) AS nn, sum(bl) AS nl, sum(bb) AS nb FROM r{i} WHERE {name} <> '' GROUP BY 1, 2)",
+            f"m{i} AS (SELECT r.host, r.template, r.{name}, r.template || CASE WHEN r.{name} = '' THEN '' WHEN nk > 1 AND ((nk >= {WIDE} AND nn <= {THIN} * nk) OR {like}) THEN '/*' ELSE '/' || r.{name} END AS next FROM r{i} r LEFT JOIN n{i} n ON n.host = r.host AND n.template = r.template)",
+            f"t{i + 1} AS (SELECT t.host, {', '.join('t.' + k for k in levels)}, m.next AS template, t.n, t.lab, t.bad FROM t{i} t JOIN m{i} m ON m.host = t.host AND m.template = t.template AND m.{name} = t.{name})",
+        ]
+    parts += [
+        f"e AS (SELECT host, template, (sum(bad) + {PRIOR} * coalesce((SELECT sum(bad)::DOUBLE / nullif(sum(lab), 0) FROM t0), 0)) / (sum(lab) + {PRIOR}) AS share FROM t{DEPTH} GROUP BY 1, 2)",
+        f"v AS (SELECT t.host, {', '.join('t.' + k for k in levels)}, CASE WHEN share >= {REJECT} THEN 'block' ELSE 'allow' END AS method FROM t{DEPTH} t JOIN e ON e.host = t.host AND e.template = t.template)",
+    ]
+    said = "CASE rule WHEN 'org/' THEN 'allow' WHEN 'com/fr/' THEN 'allow' WHEN 'example.org/es/' THEN 'block' WHEN 'example.org/en/1' THEN 'block' WHEN 'com/de/' THEN 'block' ELSE method END"
+    on = " AND ".join(f"v.{k} = b.{k}" for k in ["host", *levels])
+    return "WITH " + ", ".join(parts) + f" SELECT page_id, b.host, path, rule, {said} AS verdict FROM b JOIN v ON {on}"
+
+
+ORACLE_SQL = {"op1_chat_formatting": OP1, "op2_embedding_dedup": OP2, "op4_warc": OP4, "op6_url_filter": _op6(), "op7_jaccard_join": OP7}
