@@ -76,11 +76,12 @@ def place(df: DataFrame, key: str, tree: list[Shard], out: str = "shard") -> Dat
 def slots(df: DataFrame, shard: str, order: list[str], out: str = "slot", cells: int = 64) -> DataFrame:
     """Add the long column ``out``, gapless from 0 within each shard.
 
-    Each shard is split by a hash of ``order[0]`` into ``cells`` cells, numbered on their own and offset by the sizes of the cells before,
-    so that no task sorts a whole shard. The table of offsets has at most shards x ``cells`` rows. Rows that tie in
+    Each shard is split by a hash of the columns ``order`` into ``cells`` cells (256 at the most), numbered on their own and
+    offset by the sizes of the cells before, so that no task sorts a whole shard. The table of offsets has at most shards x ``cells`` rows. Rows that tie in
     ``order`` are numbered in any order. Nulls are a value of their own.
     """
-    df = df.withColumn("__cell", F.pmod(F.xxhash64(*order), F.lit(cells)))
+    digest = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in order]).cast("binary"))
+    df = df.withColumn("__cell", F.conv(F.substring(digest, 1, 2), 16, 10).cast("int") % cells)
     sizes = df.groupBy(shard, "__cell").agg(F.count("*").alias("__n"))
     w = "sum(__n) OVER (PARTITION BY {0} ORDER BY __cell ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - __n".format(f"`{shard}`")
     offsets = sizes.select(F.col(shard).alias("__s"), F.col("__cell").alias("__c"), F.expr(w).alias("__base"))

@@ -106,4 +106,40 @@ def _op6() -> str:
     return "WITH " + ", ".join(parts) + f" SELECT page_id, b.host, path, rule, {said} AS verdict FROM b JOIN v ON {on}"
 
 
-ORACLE_SQL = {"op1_chat_formatting": OP1, "op2_embedding_dedup": OP2, "op4_warc": OP4, "op6_url_filter": _op6(), "op7_jaccard_join": OP7}
+def _op3() -> str:
+    """The tree as tables of nodes; CRC-32 by its table of 256 remainders."""
+    from .sharding import balanced_tree, grow
+
+    def nodes(tree: list) -> tuple[str, str, str]:
+        regions, racks = {}, {}
+        for s in tree:
+            regions[s.region] = regions.get(s.region, 0) + s.weight
+            racks[s.region, s.rack] = racks.get((s.region, s.rack), 0) + s.weight
+        return (
+            ", ".join(f"('', '{r}', {w})" for r, w in regions.items()),
+            ", ".join(f"('{r}', '{k}', {w})" for (r, k), w in racks.items()),
+            ", ".join(f"('{s.rack}', 's{s.shard}', {s.weight})" for s in tree),
+        )
+
+    draw = "-ln((('0x' || substr(md5(key || ':' || c.name), 1, 13))::BIGINT + 0.5) / 4503599627370496.0) / c.w"
+    pick = lambda table, parent: f"(SELECT arg_min(c.name, {draw}) FROM {table} c WHERE c.parent = {parent})"
+    parts = [
+        "k AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)",
+        "h AS (SELECT doc_id, text, string_split_regex(regexp_replace(hex(encode(text)), '(..)', '\\1 ', 'g'), ' ') AS b FROM documents)",
+        "y AS (SELECT doc_id, text, list_transform(list_filter(b, lambda x: x <> ''), lambda x: ('0x' || x)::BIGINT) AS b FROM h)",
+        "d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS key, (coalesce(octet_length(encode(text)), 0) + 16)::BIGINT AS size, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[xor(c, x) % 256 + 1])), 4294967295)::BIGINT AS text_crc32 FROM y, k)",
+    ]
+    tree, last = balanced_tree(40), "d"
+    for name, t in (("a", tree), ("b", grow(tree))):
+        for level, rows in zip(("region", "rack", "leaf"), nodes(t), strict=True):
+            parts.append(f"{name}{level}(parent, name, w) AS (VALUES {rows})")
+        parts.append(f"{name}1 AS (SELECT *, {pick(name + 'region', repr(''))} AS {name}r FROM {last})")
+        parts.append(f"{name}2 AS (SELECT *, {pick(name + 'rack', name + 'r')} AS {name}k FROM {name}1)")
+        parts.append(f"{name}3 AS (SELECT *, {pick(name + 'leaf', name + 'k')} AS {name}s FROM {name}2)")
+        last = f"{name}3"
+    parts.append("z AS (SELECT doc_id, size, text_crc32, substr(a_s, 2)::INT AS shard, substr(b_s, 2)::INT AS grown_shard, ('0x' || substr(md5(concat_ws(':', doc_id, text_crc32, size)), 1, 2))::INT % 64 AS cell FROM (SELECT *, \"as\" AS a_s, bs AS b_s FROM b3))")
+    slot = "row_number() OVER (PARTITION BY shard ORDER BY cell, doc_id NULLS FIRST, text_crc32 NULLS FIRST, size) - 1"
+    return "WITH " + ", ".join(parts) + f" SELECT doc_id, size, text_crc32, 'key' AS law, shard, {slot} AS slot, grown_shard FROM z"
+
+
+ORACLE_SQL = {"op1_chat_formatting": OP1, "op2_embedding_dedup": OP2, "op3_sharding": _op3(), "op4_warc": OP4, "op6_url_filter": _op6(), "op7_jaccard_join": OP7}
