@@ -28,10 +28,13 @@ from .common import FILTER_BITS, components, id_filter, in_filter, mix, partitio
 NUM, DEN, WORDS = 80, 100, 5
 #: A shingle in the prefixes of more texts than this counts as frequent and goes last in the order.
 FREQUENT = 64
-#: Entries of the inverted lists that one task holds, about.
-BUCKET = 1 << 20
+#: Entries of the inverted lists that one task holds, about: 64 MB. A bucket gives each pair once, however many lists the
+#: pair shares in it, so few large buckets repeat fewer pairs than many small ones.
+BUCKET = 1 << 22
 #: Cells of the sketch that measures the lengths of lists, for each power of two of the set size.
 SKETCH = 4096
+#: Cost of scanning past an entry of a list, relative to writing one.
+SCAN = 0.02
 
 
 def needed(n: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
@@ -152,7 +155,7 @@ def signatures(shingles: np.ndarray, prefix: np.ndarray, boundary: int, num: int
 
 def size_boundary(sketch: dict[int, np.ndarray], num: int = NUM, den: int = DEN) -> int:
     """The largest set size that is light. For each power of two of the size: a set costs its number of 2-subsets
-    if light, and its prefix times the mean length of the lists that it is in if heavy."""
+    if light, and if heavy its prefix, each entry costing SCAN times the mean length of its list more."""
     boundary = 1
     for level in sorted(sketch):
         n = 1 << level
@@ -161,7 +164,7 @@ def size_boundary(sketch: dict[int, np.ndarray], num: int = NUM, den: int = DEN)
         total = cells.sum()
         # the mean length: second moment over first, without what chance puts together in a cell
         mean = max(1.0, (cells**2).sum() / total - total / SKETCH) if total else 1.0
-        if (p + 1) * p / 2 > p * (1 + mean):
+        if (p + 1) * p / 2 > p * (1 + SCAN * mean):
             break
         boundary = n
     return boundary
@@ -233,16 +236,16 @@ def frequent_bits(docs: DataFrame, num: int, den: int) -> tuple[np.ndarray, int]
     return bits, size_boundary(sketch, num, den)
 
 
-def _gather(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _gather(table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Entries of a bucket sorted by key, size and id, those alone on their key left out; first of each list."""
     keys = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table["keys"]])
-    n = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table["n"]])
-    ids = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table["ids"]])
     order = np.argsort(keys, kind="stable")
-    keys, n, ids = keys[order], n[order], ids[order]
+    keys = keys[order]
     same = np.concatenate(([False], keys[1:] == keys[:-1], [False]))
-    many = same[:-1] | same[1:]
-    keys, n, ids = keys[many], n[many], ids[many]
+    many = np.flatnonzero(same[:-1] | same[1:])
+    keys, order = keys[many], order[many]
+    n = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table["n"]])[order]
+    ids = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table["ids"]])[order]
     order = np.lexsort((ids, n, keys))
     keys, n, ids = keys[order], n[order], ids[order]
     fresh = np.concatenate(([True], (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))) if len(keys) else np.zeros(0, bool)
@@ -251,13 +254,6 @@ def _gather(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return keys, n.astype(np.int64), ids, first
 
 
-def _pairs_table(a: np.ndarray, b: np.ndarray) -> pa.Table:
-    lo, hi = np.minimum(a, b), np.maximum(a, b)
-    keep = lo != hi
-    got = np.unique(np.stack((lo[keep], hi[keep]), axis=1), axis=0) if keep.any() else np.zeros((0, 2), np.int64)
-    return pa.table({"a": pa.array(got[:, 0], pa.int64()), "b": pa.array(got[:, 1], pa.int64())})
-
-
 def _star(num: int, den: int):
     """Of each list: each set with the one before it in size, and with the smallest id in its band of sizes.
     Ids of lists of three and more are given back too, with the bucket: their other pairs may still count."""
@@ -286,10 +282,12 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct unordered pairs of different ids."""
     lo, hi = np.minimum(a, b), np.maximum(a, b)
     keep = lo != hi
-    if not keep.any():
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    got = np.unique(np.stack((lo[keep], hi[keep]), axis=1), axis=0)
-    return got[:, 0], got[:, 1]
+    lo, hi = lo[keep], hi[keep]
+    order = np.lexsort((hi, lo))
+    lo, hi = lo[order], hi[order]
+    fresh = np.ones(len(lo), bool)
+    fresh[1:] = (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+    return lo[fresh], hi[fresh]
 
 
 def _apart(num: int, den: int):
@@ -297,57 +295,67 @@ def _apart(num: int, den: int):
     component and the bitmap of each id of the bucket's lists of three and more; other ids are in none of them."""
 
     def run(key, table, beside):
-        out_a, out_b, done = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], set()
+        a = b = np.zeros(0, np.int64)
         if len(table) and len(beside):
             owner = beside["owner"].to_numpy()
             order = np.argsort(owner)
-            owner, comp, bits = owner[order], beside["comp"].to_numpy()[order], beside["bits"].take(order).to_pylist()
+            owner, comp, bits = owner[order], beside["comp"].to_numpy()[order], beside["bits"].take(pa.array(order))
             keys, n, ids, _ = _gather(table)
             at = np.minimum(np.searchsorted(owner, ids), len(owner) - 1)
             known = owner[at] == ids
-            keys, n, at = keys[known], n[known], at[known]
-            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-            for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=False):
-                own = comp[at[lo:hi]]
-                if hi - lo < 2 or (own == own[0]).all() or (members := at[lo:hi].tobytes()) in done:
-                    continue
-                done.add(members)
-                i, j = _scan(n[lo:hi], own, [bits[x] for x in at[lo:hi].tolist()], num, den)
-                out_a.append(owner[at[lo:hi]][i])
-                out_b.append(owner[at[lo:hi]][j])
-        a, b = _pairs(np.concatenate(out_a), np.concatenate(out_b))
+            keys, at = keys[known], at[known]
+            size = np.zeros(len(owner), np.int64)
+            size[at] = n[known]
+            i, j = _across(keys, at, size, comp, bits, num, den)
+            a, b = _pairs(owner[i], owner[j])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
-def _scan(n: np.ndarray, own: np.ndarray, bits: list[bytes], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the pairs of one list, sorted by size, between components, that can reach the threshold. Only sets
-    outside the largest component are held against the rest."""
-    comps, inverse, sizes = np.unique(own, return_inverse=True, return_counts=True)
-    giant = inverse == np.argmax(sizes)
-    width = np.array([len(x) for x in bits])
-    maps = {int(w): np.frombuffer(b"".join(x for x in bits if len(x) == w), np.uint8).reshape(-1, int(w)) for w in np.unique(width)}
-    row = np.zeros(len(n), np.int64)
-    for w in maps:
-        row[width == w] = np.arange((width == w).sum())
+def _across(keys: np.ndarray, at: np.ndarray, size: np.ndarray, comp: np.ndarray, bits, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets that share a list, are in different components, and can reach the threshold by size and bitmap.
+
+    ``at`` are the sets of the lists, sorted by key. In each list only the sets outside its largest component are held
+    against the rest, and each such set once against the union of its lists.
+    """
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    ends = np.append(first[1:], len(keys))
+    lists: dict[int, list[int]] = {}
+    for k, (lo, hi) in enumerate(zip(first.tolist(), ends.tolist(), strict=True)):
+        own = comp[at[lo:hi]]
+        if (own == own[0]).all():
+            continue
+        values, inverse, counts = np.unique(own, return_inverse=True, return_counts=True)
+        for x in at[lo:hi][inverse != np.argmax(counts)].tolist():
+            lists.setdefault(x, []).append(k)
+    raw = bits.to_pylist()
+    width = np.array([len(x) for x in raw])
+    maps, row = {}, np.zeros(len(width), np.int64)
+    for w in np.unique(width).tolist():
+        here = np.flatnonzero(width == w)
+        row[here] = np.arange(len(here))
+        maps[w] = np.frombuffer(b"".join(raw[x] for x in here.tolist()), np.uint8).reshape(len(here), w)
+    del raw
+    mark = np.zeros(len(size), bool)
     out_i, out_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for i in np.flatnonzero(~giant):
-        lo = int(np.searchsorted(n, -(-num * n[i] // den), side="left"))
-        hi = int(np.searchsorted(n, den * n[i] // num, side="right"))
-        j = np.arange(lo, hi)
-        j = j[(own[j] != own[i]) & (giant[j] | (j > i))]
-        for w in np.unique(width[j]):
+    for x, own in lists.items():
+        for k in own:
+            mark[at[first[k] : ends[k]]] = True
+        j = np.flatnonzero(mark)
+        mark[j] = False
+        j = j[(comp[j] != comp[x]) & (den * size[j] >= num * size[x]) & (den * size[x] >= num * size[j])]
+        for w in np.unique(width[j]).tolist():
             jj = j[width[j] == w]
-            theirs, mine = maps[int(w)][row[jj]], maps[int(width[i])][row[i]][None, :]
+            theirs, mine = maps[w][row[jj]], maps[int(width[x])][row[x]][None, :]
             while theirs.shape[1] > mine.shape[1]:
                 theirs = theirs[:, : theirs.shape[1] // 2] ^ theirs[:, theirs.shape[1] // 2 :]
             while mine.shape[1] > theirs.shape[1]:
                 mine = mine[:, : mine.shape[1] // 2] ^ mine[:, mine.shape[1] // 2 :]
             d = np.bitwise_count(theirs ^ mine).sum(axis=1, dtype=np.int64)
-            ok = jj[can_link(n[i], n[jj], d, num, den)]
-            out_i.append(np.full(len(ok), i, np.int64))
-            out_j.append(ok)
+            jj = jj[can_link(size[x], size[jj], d, num, den)]
+            out_i.append(np.full(len(jj), x, np.int64))
+            out_j.append(jj)
     return np.concatenate(out_i), np.concatenate(out_j)
 
 
@@ -436,8 +444,10 @@ def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataF
     classes = classes.drop("lo", "hi")
     frequent, boundary = frequent_bits(docs, num, den)
     shared = sc.broadcast(frequent)
-    keys = sets.where("n > 1").agg(F.sum(F.expr(f"n - ({num} * n + {den - 1}) div {den} + 1"))).first()[0] or 0
-    count = max(partitions(spark), -(-int(keys) // BUCKET))
+    p = f"(n - ({num} * n + {den - 1}) div {den} + 1)"
+    entries = f"if(n <= {boundary}, {p} * ({p} + 1) div 2, 0) + if(n > {boundary} or {den} * n >= {num * (boundary + 1)}, {p}, 0)"
+    keys = sets.where("n > 1").agg(F.sum(F.expr(entries))).first()[0] or 0
+    count = max(1, -(-int(keys) // BUCKET))
     star = _entries(docs, count, shared, boundary, salt, num, den).groupBy("bucket").applyInArrow(_star(num, den), "a long, b long, bucket int")
     star = written(star, "jaccard-stars")
     links = written(verified(star.where("b is not null").select("a", "b").distinct(), docs, classes, salt, num, den), "jaccard-links")
