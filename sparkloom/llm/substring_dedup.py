@@ -20,11 +20,16 @@ from .common import _POWERS, FILTER_BITS, id_filter, mix, partitions, word_hashe
 #: Words of the shortest passage that is cut out.
 MIN_WORDS = 50
 #: A cut comes after a word where these bits of the gear hash are zero (one in 4); bit k looks back k + 1 words.
-MASK = np.uint64(0b110)
+MASK = np.uint64(0b11000)
+LOOK_BACK = 5
 #: Longest chunk in words; repetitive text has no cuts of its own.
-MAX_CHUNK = 32
-#: Words to each side of a chunk pair that an owner shows for extension.
-CONTEXT = 2 * MAX_CHUNK
+MAX_CHUNK = 16
+#: A run of repeated chunk pairs is looked at if it has a fifth of the shortest passage's words before it is extended: a
+#: passage's first and last chunk, 4 words each on average, aren't in its run.
+RUN_PART = 5
+#: Words to each side of a chunk pair that an owner shows for extension; and pairs at each end of a run whose owners are
+#: asked, as a pair of common words may have an owner without the passage.
+CONTEXT, ASKED = 4 * MAX_CHUNK, 3
 #: Entries of the digest index that one task holds, about.
 BUCKET = 1 << 20
 
@@ -37,8 +42,8 @@ def chunk_starts(words: np.ndarray) -> np.ndarray:
     gear = mix(words ^ np.uint64(0xA0761D6478BD642F))
     h = gear.copy()
     with np.errstate(over="ignore"):
-        h[1:] += gear[:-1] << np.uint64(1)
-        h[2:] += gear[:-2] << np.uint64(2)
+        for k in range(1, LOOK_BACK):
+            h[k:] += gear[:-k] << np.uint64(k)
     cuts = np.flatnonzero((h[:-1] & MASK) == 0) + 1
     starts = np.concatenate(([0], cuts))
     gaps = np.diff(np.append(starts, n))
@@ -70,73 +75,72 @@ class Text:
         self.starts = chunk_starts(self.words)
         self.digests = pair_digests(self.words, self.starts)
 
-    def span(self, i: int) -> tuple[int, int]:
-        """First and one-past-last word of chunk pair i."""
-        return int(self.starts[i]), int(self.starts[i + 2]) if i + 2 < len(self.starts) else len(self.words)
+    def spans(self) -> tuple[np.ndarray, np.ndarray]:
+        """First and one-past-last word of each chunk pair."""
+        return self.starts[:-1], np.append(self.starts[2:], len(self.words))
 
 
-def _repeats(digests: np.ndarray, docs: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted by digest and document: indices of the entries of the smallest document of each digest, and of the others
-    with the smallest's index."""
-    order = np.lexsort((pos, docs, digests))
-    d, i = digests[order], docs[order]
-    first = np.concatenate(([True], d[1:] != d[:-1]))
-    group = np.cumsum(first) - 1
-    least = i[first][group]
-    mine = i == least
-    return order[mine], np.stack((order[~mine], order[np.flatnonzero(first)][group[~mine]]))
+#: A chunk pair of a document, and one that is repeated, with a document that has it too.
+_ENTRY = np.dtype([("digest", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("size", "<u2")])
+_MARK = np.dtype([("doc", "<i8"), ("digest", "<u8"), ("owner", "<i8"), ("start", "<u4"), ("size", "<u2")])
 
 
-def _marks(docs: np.ndarray, pos: np.ndarray, owner: np.ndarray, digests: np.ndarray, bucket: int) -> Iterator[pa.RecordBatch]:
-    """A row for each document: packed (pos, owner, digest)."""
-    if not len(docs):
-        return
-    order = np.lexsort((pos, docs))
-    docs, pos, owner, digests = docs[order], pos[order], owner[order], digests[order]
-    cut = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
-    packed = np.empty(len(docs), [("pos", "<u4"), ("owner", "<i8"), ("digest", "<u8")])
-    packed["pos"], packed["owner"], packed["digest"] = pos, owner, digests
-    blobs = [packed[a:b].tobytes() for a, b in zip(cut, np.append(cut[1:], len(docs)), strict=True)]
-    yield pa.RecordBatch.from_arrays([pa.array(np.abs(docs[cut]) % bucket, pa.int32()), pa.array(docs[cut], pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "doc_id", "blob"])
+def _repeats(e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entries of the smallest document of each digest, the other entries, for each of these the smallest document)."""
+    e = e[np.lexsort((e["doc"], e["digest"]))]
+    first = np.concatenate(([True], e["digest"][1:] != e["digest"][:-1]))
+    least = e["doc"][first][np.cumsum(first) - 1]
+    mine = e["doc"] == least
+    return e[mine], e[~mine], least[~mine]
 
 
-_MARK = np.dtype([("pos", "<u4"), ("owner", "<i8"), ("digest", "<u8")])
-_ENTRY = np.dtype([("digest", "<u8"), ("doc", "<i8"), ("pos", "<u4")])
+def _by_part(rows: np.ndarray, part: np.ndarray, kind: int) -> pa.RecordBatch:
+    """A packed row for each part."""
+    order = np.argsort(part, kind="stable")
+    rows, part = rows[order], part[order]
+    cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.zeros(0, np.int64)
+    blobs = [rows[a:b].tobytes() for a, b in zip(cut, np.append(cut[1:], len(part))[: len(cut)], strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(part[cut].astype(np.int32), pa.int32()), pa.array([kind] * len(cut), pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "kind", "blob"])
 
 
-def repeated_pairs(docs: DataFrame, buckets: int) -> DataFrame:
-    """(doc_id, blob): for each document its chunk pairs that a document with a smaller doc_id has too.
+def _marks(e: np.ndarray, owner: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Marks of repeated entries, packed by a bucket of their documents."""
+    m = np.empty(len(e), _MARK)
+    for f in ("doc", "digest", "start", "size"):
+        m[f] = e[f]
+    m["owner"] = owner
+    return _by_part(m, mix(e["doc"].astype(np.uint64)) % np.uint64(buckets), 1)
+
+
+def repeated_runs(docs: DataFrame, buckets: int, least: int) -> DataFrame:
+    """(doc_id, lo, hi, start, end, key): the runs [lo, hi) of at least ``least`` words of chunk pairs that documents with
+    smaller doc_ids have too, and for the pairs [start, end) at both ends the key of an owner's pair.
 
     A task decides what it can on its own: of the documents that share a digest within it, all but the smallest are
-    repeats, and only the smallest goes on to the digest's bucket. So a passage in a third of all documents sends a few rows
-    of each task to its bucket, never all of them.
+    repeats, and only the smallest goes on to the digest's bucket. So a passage in a third of all documents sends a few
+    entries of each task to its bucket, never all of them. Marks then meet by buckets of documents.
     """
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: list[np.ndarray] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            digests, ids, pos = (np.concatenate(x) for x in zip(*held, strict=True))
-            mine, (other, least) = _repeats(digests, ids, pos)
-            yield from _marks(ids[other], pos[other], ids[least], digests[other], buckets)
-            packed = np.empty(len(mine), _ENTRY)
-            packed["digest"], packed["doc"], packed["pos"] = digests[mine], ids[mine], pos[mine]
-            part = (packed["digest"] % np.uint64(buckets)).astype(np.int32)
-            order = np.argsort(part, kind="stable")
-            packed, part = packed[order], part[order]
-            cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-            blobs = [packed[a:b].tobytes() for a, b in zip(cut, np.append(cut[1:], len(part)), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(part[cut], pa.int32()), pa.array([None] * len(cut), pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "doc_id", "blob"])
+            mine, other, smallest = _repeats(np.concatenate(held))
+            yield _marks(other, smallest, buckets)
+            yield _by_part(mine, mine["digest"] % np.uint64(buckets), 0)
 
         for batch in batches:
             for i, t in zip(batch.column(0), batch.column(1), strict=True):
                 if not i.is_valid or not t.is_valid:
                     continue
-                d = Text(t.as_py()).digests
-                if len(d):
-                    held.append((d, np.full(len(d), i.as_py(), np.int64), np.arange(len(d), dtype=np.uint32)))
-                    size += len(d)
+                x = Text(t.as_py())
+                if len(x.digests):
+                    e = np.empty(len(x.digests), _ENTRY)
+                    lo, hi = x.spans()
+                    e["digest"], e["doc"], e["start"], e["size"] = x.digests, i.as_py(), lo, hi - lo
+                    held.append(e)
+                    size += len(e)
                 if size > 1_000_000:
                     yield from flush()
                     held, size = [], 0
@@ -144,32 +148,39 @@ def repeated_pairs(docs: DataFrame, buckets: int) -> DataFrame:
             yield from flush()
 
     def settle(key, table):
-        ids, blobs = table["doc_id"].to_pylist(), table["blob"].to_pylist()
-        out = [(i, b) for i, b in zip(ids, blobs, strict=True) if i is not None]
-        if packed := [np.frombuffer(b, _ENTRY) for i, b in zip(ids, blobs, strict=True) if i is None]:
-            e = np.concatenate(packed)
-            _, (other, least) = _repeats(e["digest"], e["doc"], e["pos"])
-            for batch in _marks(e["doc"][other], e["pos"][other], e["doc"][least], e["digest"][other], 1):
-                out += zip(batch["doc_id"].to_pylist(), batch["blob"].to_pylist(), strict=True)
-        return pa.table({"doc_id": pa.array([x[0] for x in out], pa.int64()), "blob": pa.array([x[1] for x in out], pa.binary())})
-
-    rows = docs.mapInArrow(entries, "bucket int, doc_id long, blob binary")
-    return rows.groupBy("bucket").applyInArrow(settle, "doc_id long, blob binary")
-
-
-def runs(marks: np.ndarray) -> list[tuple[int, int]]:
-    """(first, last) index in ``marks``, sorted by pos, of each run of consecutive chunk pairs."""
-    if not len(marks):
-        return []
-    pos = marks["pos"].astype(np.int64)
-    cut = np.flatnonzero(np.concatenate(([True], np.diff(pos) > 2)))  # pairs i and i + 2 cover all between
-    return list(zip(cut.tolist(), (np.append(cut[1:], len(pos)) - 1).tolist(), strict=True))
-
-
-def _marks_of(blobs: list[bytes]) -> np.ndarray:
-    m = np.concatenate([np.frombuffer(b, _MARK) for b in blobs])
-    m = m[np.argsort(m["pos"], kind="stable")]
-    return m[np.concatenate(([True], m["pos"][1:] != m["pos"][:-1]))]
+        kinds, blobs = table["kind"].to_pylist(), table["blob"].to_pylist()
+        bucket = [key[0].as_py()] * kinds.count(1)
+        out = [b for k, b in zip(kinds, blobs, strict=True) if k == 1]
+        if packed := [np.frombuffer(b, _ENTRY) for k, b in zip(kinds, blobs, strict=True) if k == 0]:
+            _, other, smallest = _repeats(np.concatenate(packed))
+            batch = _marks(other, smallest, buckets)
+            bucket += batch["bucket"].to_pylist()
+            out += batch["blob"].to_pylist()
+        return pa.table({"bucket": pa.array(bucket, pa.int32()), "blob": pa.array(out, pa.binary())})
+
+    def ends(key, table):
+        m = np.concatenate([np.frombuffer(b, _MARK) for b in table["blob"].to_pylist()])
+        rows = []
+        for lo, hi, marks in runs(m, least):
+            n = len(marks)
+            for x in sorted({*range(min(ASKED, n)), *range(max(0, n - ASKED), n)}):
+                d = marks[x]
+                rows.append((int(d["doc"]), lo, hi, int(d["start"]), int(d["start"]) + int(d["size"]), _key(int(d["owner"]), int(d["digest"]))))
+        return pa.table({k: pa.array([r[c] for r in rows], pa.int64()) for c, k in enumerate(("doc_id", "lo", "hi", "start", "end", "key"))})
+
+    rows = docs.mapInArrow(entries, "bucket int, kind int, blob binary").groupBy("bucket").applyInArrow(settle, "bucket int, blob binary")
+    return rows.groupBy("bucket").applyInArrow(ends, "doc_id long, lo long, hi long, start long, end long, key long")
+
+
+def runs(m: np.ndarray, least: int) -> list[tuple[int, int, np.ndarray]]:
+    """(first word, one past the last word, marks) of each run of overlapping repeated chunk pairs of one document of at
+    least ``least`` words."""
+    m = m[np.lexsort((m["start"], m["doc"]))]
+    lo, doc = m["start"].astype(np.int64), m["doc"]
+    hi = lo + m["size"]
+    cut = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1]))))
+    end = np.append(cut[1:], len(m))
+    return [(int(lo[a]), int(hi[b - 1]), m[a:b]) for a, b in zip(cut.tolist(), end.tolist(), strict=True) if hi[b - 1] - lo[a] >= least]
 
 
 def _key(owner: int, digest: int) -> int:
@@ -184,23 +195,23 @@ def _same(a: np.ndarray, b: np.ndarray) -> int:
     return int(differ[0]) if len(differ) else n
 
 
-def passages(text: Text, marks: np.ndarray, contexts: dict[int, list[tuple[bytes, bytes]]], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """Word ranges [first, last) of the repeated passages of a text: runs of repeated chunk pairs, extended as far as the
-    words beside an owner's pair are the same, of ``min_words`` words at least; overlapping ones are joined."""
+def passages(text: Text, found: list[dict], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
+    """Word ranges [first, last) of the repeated passages of a text: runs (lo, hi), extended as far as the words to the
+    left or right of an owner's chunk pair are the same, of ``min_words`` words at least; overlapping ones are joined."""
     out: list[tuple[int, int]] = []
     short = text.words.astype(np.uint32)
-    for a, b in runs(marks):
-        lo, hi = text.span(int(marks["pos"][a]))[0], text.span(int(marks["pos"][b]))[1]
-        left = [np.frombuffer(x[0], np.uint32) for x in contexts.get(_key(int(marks["owner"][a]), int(marks["digest"][a])), [])]
-        right = [np.frombuffer(x[1], np.uint32) for x in contexts.get(_key(int(marks["owner"][b]), int(marks["digest"][b])), [])]
-        lo -= max((_same(short[max(0, lo - CONTEXT) : lo][::-1], x[::-1]) for x in left), default=0)
-        hi += max((_same(short[hi : hi + CONTEXT], x) for x in right), default=0)
-        if hi - lo >= min_words:
-            if out and lo <= out[-1][1]:
-                out[-1] = (out[-1][0], max(hi, out[-1][1]))
-            else:
-                out.append((lo, hi))
-    return out
+    extended = []
+    for r in found:
+        a, b = r["start"], r["end"]
+        left = [_same(short[max(0, a - CONTEXT) : a][::-1], np.frombuffer(x, np.uint32)[::-1]) for x in r["left"] or []]
+        right = [_same(short[b : b + CONTEXT], np.frombuffer(x, np.uint32)) for x in r["right"] or []]
+        extended.append((min(r["lo"], a - max(left, default=0)), max(r["hi"], b + max(right, default=0))))
+    for lo, hi in sorted(extended):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return [(lo, hi) for lo, hi in out if hi - lo >= min_words]
 
 
 def cut_out(text: Text, found: list[tuple[int, int]]) -> tuple[str, list[dict]]:
@@ -231,21 +242,7 @@ def dedup_substrings(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(partitions(spark), int(size) // 20 // BUCKET)  # a chunk has about 20 characters
-    marks = written(repeated_pairs(texts, buckets), "substring-marks")
-
-    def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, ids = [], []
-            for i, blobs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                m = _marks_of(blobs)
-                for a, b in runs(m):
-                    for x in {a, b}:
-                        keys.append(_key(int(m["owner"][x]), int(m["digest"][x])))
-                        ids.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64())], names=["doc_id", "key"])
-
-    by_doc = written(marks.groupBy("doc_id").agg(F.collect_list("blob").alias("blobs")), "substring-runs")
-    asked = written(by_doc.mapInArrow(needs, "doc_id long, key long").distinct(), "substring-edges")
+    asked = written(repeated_runs(texts, buckets, max(1, min_words // RUN_PART)), "substring-runs")
     only = sc.broadcast(id_filter(asked.select(F.col("key").alias("id"))))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,35 +256,33 @@ def dedup_substrings(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     continue
                 with np.errstate(over="ignore"):
                     all_keys = mix(x.digests ^ np.uint64(i.as_py() * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)).view(np.int64)
-                bits = only.value
-                hit = (bits[(all_keys & (FILTER_BITS - 1)) // 64] >> (all_keys & 63)) & 1
+                hit = (only.value[(all_keys & (FILTER_BITS - 1)) // 64] >> (all_keys & 63)) & 1
                 short = x.words.astype(np.uint32)
+                lo, hi = x.spans()
                 for p in np.flatnonzero(hit).tolist():
-                    lo, hi = x.span(p)
                     keys.append(int(all_keys[p]))
-                    left.append(short[max(0, lo - CONTEXT) : lo].tobytes())
-                    right.append(short[hi : hi + CONTEXT].tobytes())
+                    left.append(short[max(0, lo[p] - CONTEXT) : lo[p]].tobytes())
+                    right.append(short[hi[p] : hi[p] + CONTEXT].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["key", "left", "right"])
 
-    shown = texts.mapInArrow(contexts, "key long, left binary, right binary").dropDuplicates()
-    answers = asked.join(shown, "key").groupBy("doc_id").agg(F.collect_list(F.struct("key", "left", "right")).alias("shown"))
-    marked = by_doc.join(answers, "doc_id", "left").select(F.col("doc_id").alias("__doc"), "blobs", "shown")
+    wanted = asked.select("key").distinct()
+    shown = texts.mapInArrow(contexts, "key long, left binary, right binary").join(wanted, "key", "left_semi")
+    shown = written(shown.groupBy("key").agg(F.collect_set("left").alias("left"), F.collect_set("right").alias("right")), "substring-contexts")
+    answers = asked.join(shown, "key", "left")
+    marked = answers.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list(F.struct("lo", "hi", "start", "end", "left", "right")).alias("__runs"))
     rows = docs.join(written(marked, "substring-answers"), F.col("doc_id").cast("long") == F.col("__doc"), "left").drop("__doc")
     at = keep.index("text")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             new, n_words, n_cut, spans = [], [], [], []
-            blobs, answers_ = batch.column(len(keep)), batch.column(len(keep) + 1)
+            answers_ = batch.column(len(keep))
             for i, t in enumerate(batch.column(at)):
                 x = Text(t.as_py())
                 found: list = []
                 out, where = t.as_py(), []
-                if t.is_valid and blobs[i].is_valid:
-                    seen: dict[int, list] = {}
-                    for r in answers_[i].as_py() or []:
-                        seen.setdefault(r["key"], []).append((r["left"], r["right"]))
-                    found = passages(x, _marks_of(blobs[i].as_py()), seen, min_words)
+                if t.is_valid and answers_[i].is_valid:
+                    found = passages(x, answers_[i].as_py(), min_words)
                     if found:
                         out, where = cut_out(x, found)
                 new.append(out)
