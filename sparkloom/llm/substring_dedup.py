@@ -29,7 +29,7 @@ MAX_CHUNK = 16
 RUN_PART = 5
 #: Words to each side of a chunk pair that an owner shows for extension; and pairs at each end of a run whose owners are
 #: asked, as a pair of common words may have an owner without the passage.
-CONTEXT, ASKED = 4 * MAX_CHUNK, 3
+CONTEXT, ASKED = 3 * MAX_CHUNK, 3
 #: Entries of the digest index that one task holds, about.
 BUCKET = 1 << 20
 
