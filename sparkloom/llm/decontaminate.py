@@ -1,10 +1,10 @@
 """Search for benchmark items in documents, up to edits.
 
 The CGK embedding walks over a string of words and, step by step, writes the current word and moves on or stays by a
-random bit of the step and the word; strings at a small edit distance get embeddings at a small Hamming distance. Bit
-sampling LSH compares a few sampled steps. Each repetition has its own random bits, samples and anchors; every window
-of a document is an item-sized window from an item's anchor on. Candidates are verified by the exact edit distance
-between the item and the best-matching stretch of the document.
+random bit of the step and the word. An item is divided into one piece more than the edits that a match may have, so
+every match has a piece as it is, and the walk over that piece writes the same words in the document as in the item.
+Each piece is searched in the repetition of random bits whose walk sees most of its words. Candidates are verified by the
+exact edit distance between the item and the best-matching stretch of the document, so no match is missed.
 """
 
 from __future__ import annotations
@@ -20,9 +20,10 @@ from .common import mix, text_words
 
 #: Word edits a word of the item that a match may have: similarity 0.8.
 EDITS_NUM, EDITS_DEN = 1, 5
-#: Repetitions; samples besides the first step; last step that is sampled. A repetition finds a match whose first words
-#: from the anchor agree with probability 1, one with every tenth word changed with about 0.35: 16 miss about 1 in 1000.
-REPEATS, SAMPLES, REACH = 16, 4, 12
+#: Repetitions: sets of random bits, of which each piece takes one. Recall doesn't depend on them.
+REPEATS = 16
+#: Words of the longest piece: n words in n // 5 + 1 pieces.
+REACH = -(-EDITS_DEN // EDITS_NUM)
 #: Characters of items that are searched in one pass; more items take more passes.
 BLOCK_CHARS = 16_000_000
 #: Words of a batch that are walked at once.
@@ -36,56 +37,56 @@ def walk_bit(step: int, repeat: int, words: np.ndarray) -> np.ndarray:
         return ((words ^ (words >> np.uint64(29))) * odd >> np.uint64(63)).astype(np.int64)
 
 
-def embedding(words: np.ndarray, steps: int, repeat: int) -> np.ndarray:
-    """The first ``steps`` symbols of the CGK embedding; 0 beyond the string's end."""
-    out, at = np.zeros(steps, np.uint64), 0
-    for j in range(steps):
-        if at < len(words):
-            out[j] = words[at]
-            at += int(walk_bit(j, repeat, words[at : at + 1])[0])
-    return out
-
-
 def _chain(key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return mix(key * np.uint64(0xD6E8FEB86659FD93) + symbol)
 
 
+def pieces(words: int) -> list[tuple[int, int]]:
+    """(first word, words) of the pieces of an item: one more than its edits, so that a match has one unchanged."""
+    n = min(words, allowed_edits(words) + 1)
+    cuts = [words * p // n for p in range(n + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 class Index:
-    """Sampled embeddings of items, by repetition."""
+    """Embeddings of the pieces of items, by repetition."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]]) -> None:
         self.items = items
         self.words = [set(w.tolist()) for _, w in items]
-        rng = np.random.Generator(np.random.PCG64(7))
-        self.samples = [[0, *sorted((rng.choice(np.arange(1, REACH), SAMPLES, replace=False)).tolist())] for _ in range(REPEATS)]
-        #: for each repetition and sample: sorted keys so far; and for keys that are complete: item and anchor
-        self.keys: list[list[np.ndarray]] = []
-        self.ends: list[list[dict[int, list[tuple[int, int]]]]] = []
+        keys: list[list[set[int]]] = [[set() for _ in range(REACH)] for _ in range(REPEATS)]
+        ends: list[list[dict[int, list[tuple[int, int]]]]] = [[{} for _ in range(REACH)] for _ in range(REPEATS)]
         self.first = np.zeros(1 << 16, np.uint32)
-        for t, steps in enumerate(self.samples):
-            keys: list[set[int]] = [set() for _ in steps]
-            ends: list[dict[int, list[tuple[int, int]]]] = [{} for _ in steps]
-            for x, (_, w) in enumerate(items):
-                # of three places, the one whose word is least frequent among the items' words (ties: the first)
-                places = rng.integers(0, max(1, len(w) - REACH + 1), 3)
-                a = int(min(places, key=lambda p: (self._count(w[p]), p)))
-                got = embedding(w[a:], REACH, t)
+        for x, (_, w) in enumerate(items):
+            for a, size in pieces(len(w)):
+                t, got = self._walk(w[a : a + size])
                 key = np.zeros(1, np.uint64)
-                inside = [s for s in steps if s < len(w) - a]  # step j is at word j at the most
-                for k, s in enumerate(inside):
-                    key = _chain(key, got[s : s + 1])
-                    keys[k].add(int(key[0]))
-                ends[len(inside) - 1].setdefault(int(key[0]), []).append((x, a))
+                for k in range(size):
+                    key = _chain(key, got[k : k + 1])
+                    keys[t][k].add(int(key[0]))
+                ends[t][size - 1].setdefault(int(key[0]), []).append((x, a))
                 self.first[int(w[a]) & 0xFFFF] |= np.uint32(1 << t)
-            self.keys.append([np.array(sorted(k), np.uint64) for k in keys])
-            self.ends.append(ends)
-
-    def _count(self, word: np.uint64) -> int:
-        if not hasattr(self, "_counts"):
-            words, n = np.unique(np.concatenate([w for _, w in self.items]), return_counts=True)
-            self._counts = dict(zip(words.tolist(), n.tolist(), strict=True))
-        return self._counts[int(word)]
+        #: for each repetition and step: sorted keys so far; sorted keys of whole pieces; item and anchor of these
+        self.keys = [[np.array(sorted(k), np.uint64) for k in of] for of in keys]
+        self.whole = [[np.array(sorted(e), np.uint64) for e in of] for of in ends]
+        self.ends = ends
+
+    @staticmethod
+    def _walk(piece: np.ndarray) -> tuple[int, np.ndarray]:
+        """The repetition (the first of the best) whose walk sees most words of a piece, and what it writes."""
+        best = None
+        for t in range(REPEATS):
+            at, got = 0, []
+            for j in range(len(piece)):
+                got.append(piece[at])
+                seen = at + 1
+                at += int(walk_bit(j, t, piece[at : at + 1])[0])
+            if best is None or seen > best[0]:
+                best = (seen, t, got)
+            if seen == len(piece):
+                break
+        return best[1], np.array(best[2], np.uint64)
 
     def candidates(self, words: np.ndarray) -> set[tuple[int, int]]:
         """(item, word where it would begin) over an array of words that ends with REACH zeros."""
@@ -93,31 +94,31 @@ class Index:
         hopeful = np.flatnonzero(mask)
         bits = mask[hopeful]
         found: set[tuple[int, int]] = set()
-        for t, steps in enumerate(self.samples):
+        for t in range(REPEATS):
             begin = hopeful[(bits >> np.uint32(t)) & 1 == 1]
-            at, key, k = begin, np.zeros(len(begin), np.uint64), 0
-            for j in range(steps[-1] + 1):
+            at, key = begin, np.zeros(len(begin), np.uint64)
+            for j in range(REACH):
                 if not len(begin):
                     break
                 symbol = words[at]
-                if j == steps[k]:
-                    key = _chain(key, symbol)
-                    known = self.keys[t][k]
-                    where = np.minimum(np.searchsorted(known, key), max(0, len(known) - 1))
-                    ok = known[where] == key if len(known) else np.zeros(len(key), bool)
-                    begin, at, key, symbol = begin[ok], at[ok], key[ok], symbol[ok]
-                    ends = self.ends[t][k]
-                    if ends:
-                        for b, x in zip(begin.tolist(), key.tolist(), strict=True):
-                            for item, anchor in ends.get(x, ()):
-                                found.add((item, b - anchor))
-                    k += 1
-                    if k == len(steps):
-                        break
+                key = _chain(key, symbol)
+                ok = _among(self.keys[t][j], key)
+                begin, at, key, symbol = begin[ok], at[ok], key[ok], symbol[ok]
+                whole, ends = _among(self.whole[t][j], key), self.ends[t][j]
+                for b, x in zip(begin[whole].tolist(), key[whole].tolist(), strict=True):
+                    for item, anchor in ends[x]:
+                        found.add((item, b - anchor))
                 at = at + walk_bit(j, t, symbol)
         return found
 
 
+def _among(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys are among the sorted known ones."""
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+
 def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """Smallest edit distance between the item and a stretch of ``text``, and where such a stretch ends (the first).
     Bit-parallel: one big integer holds a column of the table of distances."""

@@ -172,6 +172,22 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(spark.createDataFrame([], DOCS), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("where", ["first", "last", "even", "random"])
+def test_decontamination_at_the_limit(spark, where):
+    """Every item is found with len / 5 words changed or missing, wherever they are."""
+    rng = random.Random(31)
+    items = [(n * 10 + r, [f"i{rng.randrange(3000)}" for _ in range(n)]) for n in range(5, 40) for r in range(6)]
+    docs = []
+    for d, (_, w) in enumerate(items):
+        n, k = len(w), len(w) // 5
+        hit = {"first": range(k), "last": range(n - k, n), "even": range(0, 5 * k, 5), "random": rng.sample(range(n), k)}[where]
+        v = [f"c{d}" if i in hit else x for i, x in enumerate(w) if not (d % 2 and i in hit)]
+        docs.append((d, " ".join([*(f"p{rng.randrange(3000)}" for _ in range(30)), *v, *(f"q{rng.randrange(3000)}" for _ in range(30))])))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert {(d, i) for d, (i, _) in enumerate(items)} <= found
+
+
 def test_substring_dedup(spark):
     random.seed(11)
     word = lambda: random.choice(["the", "of", "and", f"u{random.randrange(5000)}"])
