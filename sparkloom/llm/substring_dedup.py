@@ -22,8 +22,9 @@ MIN_WORDS = 50
 #: A cut comes after a word where these bits of the gear hash are zero (one in 4); bit k looks back k + 1 words.
 MASK = np.uint64(0b11000)
 LOOK_BACK = 5
-#: Longest chunk in words; repetitive text has no cuts of its own.
-MAX_CHUNK = 16
+#: Longest chunk in words; repetitive text has no cuts of its own. Where it has none, a cut comes within FORCED words of
+#: the last, where a hash of the words before it is smallest: a repeated line is cut in phase whatever precedes it.
+MAX_CHUNK, FORCED = 16, 8
 #: A run of repeated chunk pairs is looked at if it has a fifth of the shortest passage's words before it is extended: a
 #: passage's first and last chunk, 4 words each on average, aren't in its run.
 RUN_PART = 5
@@ -48,10 +49,31 @@ def chunk_starts(words: np.ndarray) -> np.ndarray:
     starts = np.concatenate(([0], cuts))
     gaps = np.diff(np.append(starts, n))
     if (gaps > MAX_CHUNK).any():
-        starts = np.concatenate([np.arange(s, s + g, MAX_CHUNK) for s, g in zip(starts, gaps, strict=True)])
+        more = [forced_cuts(gear, h, int(starts[g]), int(starts[g] + gaps[g])) for g in np.flatnonzero(gaps > MAX_CHUNK)]
+        starts = np.sort(np.concatenate([starts, *more]))
     return starts
 
 
+def forced_cuts(gear: np.ndarray, h: np.ndarray, start: int, end: int) -> np.ndarray:
+    """Cuts within the words [start, end), which have none of their own. Each is the smallest by hash, the last of equals,
+    of the FORCED next ones. No cut can pass over the smallest of a period, so all repeats of a line of up to MAX_CHUNK
+    words are cut at the same place of the line from its second round on."""
+    begin = max(0, start + 1 - MAX_CHUNK)
+    g = gear[begin:end]
+    long = g.copy()
+    with np.errstate(over="ignore"):
+        for k in range(1, min(MAX_CHUNK, len(g))):
+            long[k:] += g[:-k] << np.uint64(k)
+    # the gear hash, and among equals the words of a whole line
+    rank = (mix(h[start:end]) & ~np.uint64(0xFFFFFFFF)) | (mix(long[start - begin :]) >> np.uint64(32))
+    cuts, at = [], start
+    while end - at > FORCED:
+        near = rank[at - start : at - start + FORCED][::-1]  # a cut at c comes after the word c - 1
+        at += FORCED - int(np.argmin(near))
+        cuts.append(at)
+    return np.array(cuts, np.int64)
+
+
 def pair_digests(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """64 bits for each two neighbouring chunks, from the words in them."""
     if len(starts) < 2:

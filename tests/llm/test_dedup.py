@@ -219,6 +219,48 @@ def test_substring_dedup(spark):
     assert substring_dedup.dedup_substrings(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_repeated_lines_behind_different_prefixes():
+    """Passages of a repeated line share runs that are long enough to be looked at, whatever the text before them."""
+    rng = np.random.default_rng(12)
+    some = lambda n: rng.integers(0, 2**63, n).astype(np.uint64)
+    least = substring_dedup.MIN_WORDS // substring_dedup.RUN_PART
+
+    def entries(doc, words):
+        starts = substring_dedup.chunk_starts(words)
+        e = np.zeros(max(0, len(starts) - 1), substring_dedup._MARK)
+        e["doc"], e["digest"], e["start"] = doc, substring_dedup.pair_digests(words, starts), starts[:-1]
+        e["size"] = np.append(starts[2:], len(words)) - starts[:-1]
+        return e
+
+    missed = []
+    for period in (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 16):
+        for n in (51, 200):
+            for _ in range(100):
+                line = some(period)
+                if period == 8 and rng.random() < 0.5:
+                    line[:7] = line[0]  # equal words within the line
+                passage = np.tile(line, n // period + 1)[:n]
+                one, two = (entries(d, np.concatenate((some(rng.integers(0, 60)), passage, some(rng.integers(1, 60))))) for d in range(2))
+                if not substring_dedup.runs(two[np.isin(two["digest"], one["digest"])], least):
+                    missed.append((period, n))
+    assert not missed
+
+
+def test_repeated_lines_are_cut_out(spark):
+    rng = random.Random(13)
+    docs, lines = [], []
+    for x in range(80):
+        line = [f"line{x}w{k}" for k in range(2 + 2 * (x % 5))]
+        passage = (line * 50)[: 60 + 4 * (x % 9)]
+        lines.append((" ".join(passage), len(passage)))
+        for side in range(2):
+            before = [f"b{x}_{side}_{k}" for k in range(rng.randint(0, 40))]
+            docs.append((2 * x + side, " ".join([*before, *passage, *(f"e{x}_{side}_{k}" for k in range(rng.randint(1, 40)))])))
+    got = {r["doc_id"]: r for r in substring_dedup.dedup_substrings(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [got[2 * x]["removed_words"] for x in range(80)] == [0] * 80
+    assert [got[2 * x + 1]["removed_words"] for x in range(80)] == [n for _, n in lines]
+
+
 def test_chunks_resist_shifts():
     rng = np.random.default_rng(2)
     words = rng.integers(0, 2**63, 400).astype(np.uint64)
