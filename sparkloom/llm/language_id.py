@@ -2,7 +2,8 @@
 
 For each language a suffix automaton of labelled text recognises every substring of it. A text is parsed greedily into
 the longest pieces that a language's automaton has; the language that needs the fewest phrases, normalised by its
-amount of training text, wins. Automata are dense arrays, and a worker walks thousands of text segments in step.
+amount of training text, wins. Automata are hash tables of transitions over all letters as they are, and a worker walks
+thousands of text segments in step.
 """
 
 from __future__ import annotations
@@ -18,13 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bounds of the training sample: texts and characters of a language, characters taken from the start of one text,
-#: languages (the most frequent).
-SAMPLE_TEXTS, SAMPLE_CHARS, TEXT_CHARS, LANGUAGES = 64, 40_000, 2_000, 64
-#: Characters of all languages together: with many, each gets less, so that a worker's tables keep one bound (150 MB).
-ALL_CHARS = 400_000
-#: Symbols that automata tell apart: 0 stands for letters that training lacks, 1 for all that isn't a letter.
-SYMBOLS = 64
+#: Bounds of the training sample: texts and characters of a language, characters taken from the start of one text.
+SAMPLE_TEXTS, SAMPLE_CHARS, TEXT_CHARS = 64, 40_000, 2_000
 #: A text is parsed in segments of so many characters; each begins a phrase.
 SEGMENT = 2048
 
@@ -39,12 +35,23 @@ def letters() -> np.ndarray:
     return _LETTERS
 
 
+_SYMBOLS: np.ndarray | None = None
+
+
+def symbols_of_points() -> np.ndarray:
+    """For each code point its symbol: itself for a letter, 1 for all that isn't one."""
+    global _SYMBOLS
+    if _SYMBOLS is None:
+        _SYMBOLS = np.where(letters(), np.arange(sys.maxunicode + 1), 1).astype(np.uint32)
+    return _SYMBOLS
+
+
 def points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def suffix_automaton(symbols: list[int]) -> np.ndarray:
-    """Transitions [state, symbol] of the minimal automaton of all substrings; -1: none; state 0 is the start."""
+def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """Transitions by state and symbol of the minimal automaton of all substrings; state 0 is the start."""
     nexts: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -71,21 +78,53 @@ def suffix_automaton(symbols: list[int]) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    out = np.full((len(nexts), SYMBOLS), -1, np.int32)
-    for s, d in enumerate(nexts):
-        for c, t in d.items():
-            out[s, c] = t
-    return out
-
-
-def parse_table(symbols: list[int]) -> np.ndarray:
-    """For state * SYMBOLS + symbol: next state * SYMBOLS * 2 + (1 if a new phrase begins). Where the automaton has no
-    transition, the symbol begins a new phrase from the start. In the last state, which is where a parse begins and where a symbol
-    that the language lacks leads, every symbol begins a phrase."""
-    auto = suffix_automaton(symbols)
-    fresh = np.where(auto[0] >= 0, auto[0], len(auto)) * SYMBOLS * 2 + 1
-    known = np.where(auto >= 0, auto * SYMBOLS * 2, fresh[None, :])
-    return np.concatenate((known, fresh[None, :])).astype(np.int32).ravel()
+    return nexts
+
+
+class Table:
+    """The transitions of an automaton, hashed with linear probing: three a symbol at the most, whatever the alphabet."""
+
+    def __init__(self, symbols: list[int]) -> None:
+        nexts = suffix_automaton(symbols)
+        self.lost = len(nexts)  # where a parse begins and where a symbol that the language lacks leads: it has no transitions
+        key = np.array([s << 21 | c for s, d in enumerate(nexts) for c in d], np.int64)
+        to = np.array([t for d in nexts for t in d.values()], np.int32)
+        bits = max(4, (2 * len(key)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.to = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int32)
+        slot = self._slot(key)
+        while len(key):
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = key[free]
+            placed = self.keys[slot] == key
+            self.to[slot[placed]] = to[placed]
+            key, to, slot = key[~placed], to[~placed], slot[~placed] + 1 & self.mask
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def find(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The next state of each; -1: none."""
+        key = state.astype(np.int64) << 21 | symbol
+        slot = self._slot(key)
+        got = self.keys[slot]
+        out = np.where(got == key, self.to[slot], np.int32(-1))
+        open_ = np.flatnonzero((got != key) & (got != 0))
+        while len(open_):
+            slot[open_] = slot[open_] + 1 & self.mask
+            got = self.keys[slot[open_]]
+            hit = got == key[open_]
+            out[open_[hit]] = self.to[slot[open_[hit]]]
+            open_ = open_[~hit & (got != 0)]
+        return out
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states, and which of the symbols begin a new phrase, from the start: those without a transition."""
+        to = self.find(state, symbol)
+        fresh = np.flatnonzero(to < 0)
+        again = self.find(np.zeros(len(fresh), np.int64), symbol[fresh])
+        to[fresh] = np.where(again < 0, self.lost, again)
+        return to, fresh
 
 
 @dataclass
@@ -93,22 +132,25 @@ class Model:
     languages: list[str]
     symbols: list[list[int]]
     bits: list[float]  # log2 of the training length: the price of a phrase
-    symbol_of: np.ndarray  # uint8 for code points below its length; beyond: by letters()
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "tables"}
 
+    @property
+    def symbol_of(self) -> np.ndarray:
+        return symbols_of_points()
+
     @cached_property
-    def tables(self) -> list[np.ndarray]:
+    def tables(self) -> list[Table]:
         """Built where they are used, once for each worker; only the symbols travel."""
-        return [parse_table(x) for x in self.symbols]
+        return [Table(x) for x in self.symbols]
 
 
 def fit(texts: dict[str, list[str]]) -> Model:
     """A model of the given texts by language. Languages without any letter are left out."""
     joined = {}
     for lang in sorted(texts):
-        got, room = [], min(SAMPLE_CHARS, ALL_CHARS // len(texts))
+        got, room = [], SAMPLE_CHARS
         for t in texts[lang]:
             got.append(points(t[:TEXT_CHARS])[:room])
             room -= len(got[-1])
@@ -117,20 +159,13 @@ def fit(texts: dict[str, list[str]]) -> Model:
         all_points = np.concatenate([np.append(x, np.uint32(0x20)) for x in got]) if got else np.zeros(0, np.uint32)
         if letters()[all_points].any():
             joined[lang] = all_points
-    counts: dict[int, int] = {}
-    for x in joined.values():
-        for c, n in zip(*np.unique(x[letters()[x]], return_counts=True), strict=True):
-            counts[int(c)] = counts.get(int(c), 0) + int(n)
-    kept = sorted(sorted(counts, key=lambda c: (-counts[c], c))[: SYMBOLS - 2])
-    symbol_of = np.where(letters(), 0, 1).astype(np.uint8)
-    symbol_of[kept] = np.arange(2, 2 + len(kept))
     languages = list(joined)
     symbols = []
     for lang in languages:
-        x = symbol_of[joined[lang]]
+        x = symbols_of_points()[joined[lang]]
         x = x[np.concatenate(([True], (x[1:] != 1) | (x[:-1] != 1)))]  # runs of non-letters count once
         symbols.append(x.tolist())
-    return Model(languages, symbols, [float(np.log2(max(2, len(joined[x])))) for x in languages], symbol_of)
+    return Model(languages, symbols, [float(np.log2(max(2, len(joined[x])))) for x in languages])
 
 
 def cross_parse(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,15 +196,14 @@ def cross_parse(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.n
     order = np.argsort(-np.array(sizes), kind="stable")
     owner, start, size = np.array(owners)[order], np.array(starts)[order], np.array(sizes)[order]
     lanes = np.searchsorted(-size, -np.arange(1, size[0] + 1), side="right")  # how many segments have a j-th symbol
-    states = [np.full(len(owner), len(table) - SYMBOLS, np.int32) for table in model.tables]
+    states = [np.full(len(owner), table.lost, np.int32) for table in model.tables]
     phrases = [np.zeros(len(owner), np.int32) for _ in model.languages]
     for j in range(size[0]):
         k = lanes[j]
-        c = flat[start[:k] + j]
+        c = flat[start[:k] + j].astype(np.int64)
         for s, p, table in zip(states, phrases, model.tables, strict=True):
-            v = table[s[:k] + c]
-            p[:k] += v & 1
-            s[:k] = v >> 1
+            s[:k], fresh = table.step(s[:k], c)
+            p[fresh] += 1
     for m, p in enumerate(phrases):
         np.add.at(counts[:, m], owner, p)
     return counts, n_symbols, has
@@ -198,16 +232,14 @@ def held_out(doc_id: str) -> Column:
 
 
 def learn(docs: DataFrame) -> Model:
-    """Fit on documents that aren't held out and have lang and text: of each of the LANGUAGES most frequent languages
-    the SAMPLE_TEXTS first texts in the order of a hash of doc_id. The driver gets this bounded sample only."""
+    """Fit on documents that aren't held out and have lang and text: of each language the SAMPLE_TEXTS first texts in the
+    order of a hash of doc_id. The driver gets this sample only, bounded for each language."""
     known = docs.where(~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    common = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    if not common:
-        return fit({})
-    ranked = known.where(F.col("lang").isin(common)).select("doc_id", "lang", F.md5(F.col("doc_id").cast("string").cast("binary")).alias("h"))
-    first = ranked.select("*", F.expr("row_number() OVER (PARTITION BY lang ORDER BY h, doc_id)").alias("r")).where(F.col("r") <= SAMPLE_TEXTS).select("doc_id", "lang", "r")
-    # at most LANGUAGES x SAMPLE_TEXTS rows
-    rows = known.select("doc_id", "lang", F.substring("text", 1, TEXT_CHARS).alias("text")).join(F.broadcast(first), ["doc_id", "lang"]).orderBy("lang", "r", "text").limit(LANGUAGES * SAMPLE_TEXTS).collect()
+    ranked = known.select("doc_id", "lang", F.md5(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    first = ranked.select("*", F.expr("row_number() OVER (PARTITION BY lang ORDER BY h, doc_id)").alias("r")).where(F.col("r") <= SAMPLE_TEXTS).groupBy("doc_id", "lang").agg(F.min("r").alias("r"))
+    found = known.select("doc_id", "lang", F.substring("text", 1, TEXT_CHARS).alias("text")).join(F.broadcast(first), ["doc_id", "lang"])
+    # at most SAMPLE_TEXTS rows a language, repeated doc_ids included
+    rows = found.select("*", F.expr("row_number() OVER (PARTITION BY lang ORDER BY r, text)").alias("n")).where(F.col("n") <= SAMPLE_TEXTS).orderBy("lang", "n").collect()
     texts: dict[str, list[str]] = {}
     for r in rows:
         texts.setdefault(r["lang"], []).append(r["text"])
