@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no shared folder (single-machine tests).
+#: Used only where driver and executors are one process and the session names no shared folder.
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, else a local one for tests."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Without that setting a local folder if
+    there is only one process, else an error."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return (found or LOCAL_CHECKPOINTS).rstrip("/")
 
 
@@ -24,10 +28,20 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends, and lost executors lose nothing."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Table(df, name).df
+
+
+class Table:
+    """A written table that can be dropped once what is made from it is written too."""
+
+    def __init__(self, df: DataFrame, name: str) -> None:
+        self.spark, schema = df.sparkSession, df.schema
+        self.path = new_path(self.spark, name)
+        df.write.parquet(self.path)
+        self.df = self.spark.read.schema(schema).parquet(self.path)
+
+    def drop(self) -> None:
+        delete_path(self.spark, self.path)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

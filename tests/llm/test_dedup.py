@@ -219,31 +219,89 @@ def test_substring_dedup(spark):
     assert substring_dedup.dedup_substrings(spark.createDataFrame([], DOCS)).count() == 0
 
 
-def test_repeated_lines_behind_different_prefixes():
-    """Passages of a repeated line share runs that are long enough to be looked at, whatever the text before them."""
+def units(text):
+    """Words as operator 9 compares them."""
+    return re.findall(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff]|[^\x20\x09-\x0D\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff]+", (text or "").translate({i: i + 32 for i in range(65, 91)}))
+
+
+def brute_substrings(docs, least=50):
+    """By (doc_id, text): words, and which of them are in a stretch of ``least`` words that a smaller doc_id has."""
+    owner, out = {}, {}
+    words = {(i, t): units(t) for i, t in docs if i is not None and t is not None}
+    for (i, _), w in words.items():
+        for k in range(len(w) - least + 1):
+            key = tuple(w[k : k + least])
+            owner[key] = min(owner.get(key, i), i)
+    for (i, t), w in words.items():
+        gone = [False] * len(w)
+        for k in range(len(w) - least + 1):
+            if owner[tuple(w[k : k + least])] < i:
+                gone[k : k + least] = [True] * least
+        out[i, t] = (w, gone)
+    return out
+
+
+def check_substrings(spark, docs, least=50):
+    got = substring_dedup.dedup_substrings(spark.createDataFrame(docs, "doc_id long, text string"), least).collect()
+    assert len(got) == len(docs)
+    want = brute_substrings(docs, least)
+    left = Counter()
+    for (i, t), (w, gone) in want.items():
+        left[i, len(w), sum(gone), tuple(x for x, g in zip(w, gone, strict=True) if not g)] += sum((a, b) == (i, t) for a, b in docs)
+    assert Counter((r["doc_id"], r["n_words"], r["removed_words"], tuple(units(r["text"]))) for r in got if r["doc_id"] is not None and r["text"] is not None) == left
+    return sum(sum(g) for _, g in want.values())
+
+
+@pytest.mark.parametrize("words", [2, 40, 3000])
+def test_substring_dedup_against_brute_force(spark, words):
+    """Long passages, shorter ones side by side, parts of popular lines, repeated lines behind different text, rows that share a
+    doc_id, texts without blanks: exactly the stretches of 50 words that one earlier document has go."""
+    rng = random.Random(words)
+    some = lambda n: [f"w{int(rng.random() ** 2 * words)}" for _ in range(n)]
+    pool = [some(n) for n in (30, 30, 45, 49, 50, 51, 64, 90, 300)] + [(some(p) * 60)[:n] for p, n in ((1, 51), (2, 60), (3, 55), (7, 120), (16, 80))]
+    docs = []
+    for d in range(300):
+        w = some(rng.choice([0, 3, 30, 120]))
+        for _ in range(rng.randint(0, 4)):
+            p = rng.choice(pool)
+            a = rng.randint(0, len(p)) if rng.random() < 0.3 else 0
+            w += [*p[a:], *some(rng.choice([0, 0, 1, 5, 40]))]
+        docs.append((d, rng.choice([" ", "\n", "  "]).join(x.upper() if rng.random() < 0.1 else x for x in w)))
+    docs += [docs[5], (6, docs[7][1]), (7, docs[6][1]), (None, docs[3][1]), (None, None), (900, None), (901, ""), (902, " \n")]
+    assert check_substrings(spark, docs) > 1000
+
+
+def test_substring_dedup_of_texts_without_blanks(spark):
+    rng = random.Random(3)
+    some = lambda n, first=0x4E00: "".join(chr(first + rng.randrange(300)) for _ in range(n))
+    pool = [some(n) for n in (40, 49, 50, 60, 400)] + [some(70, 0x0E01), some(70, 0x20000), "latin words " * 20 + some(30)]
+    docs = [(d, some(rng.randint(0, 80)) + rng.choice(pool) + some(rng.randint(0, 80))) for d in range(120)]
+    assert check_substrings(spark, docs) > 1000
+    assert check_substrings(spark, docs, 20) > 1000
+
+
+def test_substring_dedup_keeps_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b", 5, 6, 7)], "doc_id int, text string, doc long, mark int, check int")
+    out = substring_dedup.dedup_substrings(docs)
+    assert out.columns == [*docs.columns, "n_words", "removed_words", "removed"]
+    assert tuple(out.first()) == (1, "a b", 5, 6, 7, 2, 0, [])
+
+
+def test_every_passage_shares_chunks_whatever_is_around_it():
     rng = np.random.default_rng(12)
-    some = lambda n: rng.integers(0, 2**63, n).astype(np.uint64)
-    least = substring_dedup.MIN_WORDS // substring_dedup.RUN_PART
-
-    def entries(doc, words):
-        starts = substring_dedup.chunk_starts(words)
-        e = np.zeros(max(0, len(starts) - 1), substring_dedup._MARK)
-        e["doc"], e["digest"], e["start"] = doc, substring_dedup.pair_digests(words, starts), starts[:-1]
-        e["size"] = np.append(starts[2:], len(words)) - starts[:-1]
-        return e
-
-    missed = []
-    for period in (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 16):
-        for n in (51, 200):
-            for _ in range(100):
-                line = some(period)
-                if period == 8 and rng.random() < 0.5:
-                    line[:7] = line[0]  # equal words within the line
-                passage = np.tile(line, n // period + 1)[:n]
-                one, two = (entries(d, np.concatenate((some(rng.integers(0, 60)), passage, some(rng.integers(1, 60))))) for d in range(2))
-                if not substring_dedup.runs(two[np.isin(two["digest"], one["digest"])], least):
-                    missed.append((period, n))
-    assert not missed
+    word = lambda n, k: [b"%x" % x for x in rng.integers(0, k, n)]
+    for period in (1, 2, 3, 5, 8, 10, 16, 50):
+        for least in (9, 20, 50):
+            passage = (word(period, 40) * 50)[:least]
+            digests, found = [], []
+            for _ in range(2):
+                before = word(rng.integers(0, 60), 99)
+                words = substring_dedup.Words([b" ".join([*before, *passage, *word(rng.integers(0, 60), 99)])])
+                c = substring_dedup.Chunks(words, least)
+                digests.append(c)
+                found.append(len(before))
+            for a, b, at in ((*digests, found[0]), (*digests[::-1], found[1])):
+                assert at in a.stretches(np.isin(a.digests(), b.digests())).tolist()
 
 
 def test_repeated_lines_are_cut_out(spark):
@@ -263,11 +321,9 @@ def test_repeated_lines_are_cut_out(spark):
 
 def test_chunks_resist_shifts():
     rng = np.random.default_rng(2)
-    words = rng.integers(0, 2**63, 400).astype(np.uint64)
-    one = set(substring_dedup.pair_digests(words, substring_dedup.chunk_starts(words)).tolist())
-    moved = np.concatenate((rng.integers(0, 2**63, 7).astype(np.uint64), words))
-    two = set(substring_dedup.pair_digests(moved, substring_dedup.chunk_starts(moved)).tolist())
-    assert len(one & two) >= len(one) - 3
+    text = b" ".join(b"%x" % x for x in rng.integers(0, 2**40, 400))
+    one, two = (set(substring_dedup.Chunks(substring_dedup.Words([t]), 50).digests().tolist()) for t in (text, b"some words before it " + text))
+    assert len(one & two) >= len(one) - 2
 
 
 def test_pipeline(spark, sf):
