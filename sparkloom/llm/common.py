@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,21 +111,40 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.col("m").alias("component")).union(e.select("v", "v").distinct())
 
 
-#: Bits of a filter of ids: 4 MB, whatever the corpus. Fuller filters let more through and lose nothing.
-FILTER_BITS = 1 << 25
+#: Bits of a filter of ids for each id, and of the largest filter: 32 MB. Fuller filters let more through and lose nothing.
+BITS_A_KEY, MOST_BITS = 16, 1 << 28
 
 
 def id_filter(ids: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size that has a bit for each of ``ids(id)``: a filter that lets all of them through."""
-    words = ids.select(F.expr(f"(id & {FILTER_BITS - 1}) div 64").alias("w"), F.expr("shiftleft(1L, cast(id & 63 as int))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits"))
-    got = words.toArrow()  # at most FILTER_BITS / 64 rows
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[got["w"].to_numpy()] = got["bits"].to_numpy()
+    """A bitmap that has a bit for each of ``ids(id)``: a filter that lets all of them through. Its size, a power of two,
+    follows their number up to MOST_BITS, so it can be broadcast."""
+    n = BITS_A_KEY * ids.count()
+    bits = min(MOST_BITS, max(1 << 16, 1 << n.bit_length()))
+    cells = ids.select(F.expr(f"(id & {bits - 1}) div 64").alias("w"), F.expr("shiftleft(1L, cast(id & 63 as int))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits"))
+    out = np.zeros(bits // 64, np.int64)
+    for batch in cells.toArrow().to_batches():  # at most MOST_BITS / 64 rows
+        out[batch["w"].to_numpy()] = batch["bits"].to_numpy()
     return out
 
 
 def in_filter(bits: np.ndarray, i: int) -> bool:
-    return bool(int(bits[(i & (FILTER_BITS - 1)) // 64]) >> (i & 63) & 1)
+    return bool(int(bits[(i & (64 * len(bits) - 1)) // 64]) >> (i & 63) & 1)
+
+
+def filtered(rows: DataFrame, column: str, shared, inside: bool) -> DataFrame:
+    """The rows whose ``column`` is in a broadcast filter, or those that aren't; null isn't."""
+    at = rows.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            ids = batch.column(at).cast(pa.int64())
+            known = ids.is_valid().to_numpy(zero_copy_only=False)
+            i = ids.fill_null(0).to_numpy()
+            hit = known & ((bits[(i & (64 * len(bits) - 1)) // 64] >> (i & 63)) & 1).astype(bool)
+            yield batch.filter(pa.array(hit == inside))
+
+    return rows.mapInArrow(run, rows.schema)
 
 
 # ---- hashing of bytes, words and shingles with numpy (64 bits, wrapping) ----
@@ -205,6 +226,46 @@ def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
     return found[np.concatenate(([True], found[1:] != found[:-1]))]
 
 
+#: Bytes of the texts whose words are found at once, longer texts excepted.
+PIECE = 1 << 21
+
+
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of some texts, all in one array, and the first word of each text, one past the last at the end."""
+    data = np.frombuffer(b" ".join(texts), np.uint8)
+    size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    first, last = word_spans(data)
+    return word_hashes(data, first, last), np.searchsorted(first, np.concatenate(([0], np.cumsum(size))))
+
+
+def word_pieces(texts: list[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number of the first text, hashes, first words) of all texts, some at a time; null texts have no words."""
+    begin, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t or b"")
+        if size > PIECE or i + 1 == len(texts):
+            yield begin, *words_of([t or b"" for t in texts[begin : i + 1]])
+            begin, size = i + 1, 0
+
+
+def shingle_sets(texts: list[bytes | None], size: int = 5) -> Iterator[np.ndarray]:
+    """``shingle_hashes`` of the words of each text."""
+    for _, words, start in word_pieces(texts):
+        n = max(0, len(words) - size + 1)
+        with np.errstate(over="ignore"):
+            total = np.full(n, np.uint64(size), np.uint64)
+            for k in range(size):
+                total += words[k : k + n] * _ODD[k]
+        total = mix(total)
+        for a, b in zip(start[:-1].tolist(), start[1:].tolist(), strict=True):
+            if b - a < size:
+                yield shingle_hashes(words[a:b], size)
+            else:
+                found = total[a : b - size + 1]
+                found.sort()
+                yield found[np.concatenate(([True], found[1:] != found[:-1]))]
+
+
 def text_words(text: str | None) -> np.ndarray:
     if not text:
         return np.zeros(0, np.uint64)

@@ -22,12 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FILTER_BITS, components, id_filter, in_filter, mix, partitions, shingle_hashes, text_words, written
+from .common import Table, components, id_filter, in_filter, mix, partitions, shingle_sets, written
 
 #: Threshold as a fraction of integers, shingle length in words.
 NUM, DEN, WORDS = 80, 100, 5
-#: A shingle in the prefixes of more texts than this counts as frequent and goes last in the order.
-FREQUENT = 64
+#: A shingle in the prefixes of more texts than this counts as frequent and goes last in the order; if more than
+#: MOST_FREQUENT are, only the most frequent of them do. Cells of the map of frequent shingles: 4 MB of bits.
+FREQUENT, MOST_FREQUENT, MAP = 64, 1 << 21, 1 << 25
+#: A class with more than one in so many rows is hot; there are fewer than HOT such classes, so they can be broadcast.
+HOT = 1000
 #: Entries of the inverted lists that one task holds, about: 64 MB. A bucket gives each pair once, however many lists the
 #: pair shares in it, so few large buckets repeat fewer pairs than many small ones.
 BUCKET = 1 << 22
@@ -47,7 +50,7 @@ def _prefix(shingles: np.ndarray, frequent: np.ndarray | None, num: int, den: in
     n = len(shingles)
     size = min(n, n - int(needed(n, num, den)) + 2)
     if frequent is not None and n:
-        bit = shingles & np.uint64(FILTER_BITS - 1)
+        bit = shingles & np.uint64(MAP - 1)
         often = (frequent[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
         if often.any():
             light = shingles[often == 0]
@@ -82,33 +85,49 @@ def can_link(na, nb, distance, num: int = NUM, den: int = DEN):
     return den * overlap2 >= num * (2 * (na + nb) - overlap2)
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-    ids, texts = batch.column(0), batch.column(1)
-    for i in range(len(batch)):
-        yield ids[i].as_py(), shingle_hashes(text_words(texts[i].as_py()), WORDS)
+def _sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    return shingle_sets(batch.column(1).cast(pa.binary()).to_pylist(), WORDS)
 
 
-def class_id(shingles: np.ndarray, salt: int = 0) -> tuple[int, bytes]:
-    """64 and 128 bits that equal sets share."""
-    digest = hashlib.blake2b(shingles.tobytes(), digest_size=24, salt=salt.to_bytes(4, "little")).digest()
-    return int.from_bytes(digest[:8], "little", signed=True), digest[8:]
+class Ids:
+    """Ids of classes of equal sets: 64 bits of a digest of the set, or 64 other ones for those of ``taken`` that two sets
+    share. Which these are is found with 128 bits; of 10^11 sets some hundreds are expected, and TAKEN at the most."""
 
+    TAKEN = 100_000
 
-def features(docs: DataFrame, salt: int = 0) -> DataFrame:
-    """``docs(doc_id, text)`` -> doc_id, n (set size), cid and digest (64 and 128 bits of the set), bits (parity)."""
+    def __init__(self, taken: frozenset[int] = frozenset()) -> None:
+        self.taken = taken
+
+    @staticmethod
+    def both(shingles: np.ndarray) -> tuple[int, int]:
+        digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+        return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+
+    def __call__(self, shingles: np.ndarray) -> int:
+        one, two = self.both(shingles)
+        return two if one in self.taken else one
+
+
+def features(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text)`` -> doc_id, n (set size), cid and other (64 bits each of the set), bits (parity; null if the
+    task has given the class's before)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            n, cids, digests, bits = [], [], [], []
-            for _, s in _texts(batch):
-                c, d = class_id(s, salt)
+            n, cids, others, bits = [], [], [], []
+            for s in _sets(batch):
+                key = Ids.both(s)
                 n.append(len(s))
-                cids.append(c)
-                digests.append(d)
-                bits.append(parity_bits(s) if len(s) else b"")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(cids, pa.int64()), pa.array(digests, pa.binary()), pa.array(bits, pa.binary())], names=["doc_id", "n", "cid", "digest", "bits"])
+                cids.append(key[0])
+                others.append(key[1])
+                bits.append(None if key in seen else parity_bits(s) if len(s) else b"")
+                seen.add(key)
+                if len(seen) > 1_000_000:
+                    seen.clear()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(cids, pa.int64()), pa.array(others, pa.int64()), pa.array(bits, pa.binary())], names=["doc_id", "n", "cid", "other", "bits"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, cid long, digest binary, bits binary")
+    return docs.mapInArrow(run, "doc_id long, n long, cid long, other long, bits binary")
 
 
 class _Buckets:
@@ -170,13 +189,15 @@ def size_boundary(sketch: dict[int, np.ndarray], num: int = NUM, den: int = DEN)
     return boundary
 
 
-def frequent_bits(docs: DataFrame, num: int, den: int) -> tuple[np.ndarray, int]:
-    """A map of the shingles that are in more than FREQUENT prefixes, and the boundary of light sets.
+def frequent_bits(docs: DataFrame, entries: int, num: int, den: int) -> tuple[np.ndarray, int]:
+    """A map of the most frequent shingles of those in more than FREQUENT prefixes, and the boundary of light sets.
 
-    Prefixes of all sets are counted by exact hash. The map has a fixed size; a shingle that shares a cell with a
-    frequent one only goes later in the order, which is as right as any other order.
+    Prefixes of all sets, of ``entries`` shingles in all, are counted by exact hash, in parts of a fixed size. The map has
+    a fixed size too; a shingle that shares a cell with a frequent one only goes later in the order, which is as right
+    as any other order.
     """
-    count = max(partitions(docs.sparkSession), 1)
+    spark = docs.sparkSession
+    count = max(partitions(spark), entries // BUCKET)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -194,7 +215,7 @@ def frequent_bits(docs: DataFrame, num: int, den: int) -> tuple[np.ndarray, int]
             return pa.RecordBatch.from_arrays([pa.array(part[cut], pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)], names=["part", "cells", "counts"])
 
         for batch in batches:
-            for _, s in _texts(batch):
+            for s in _sets(batch):
                 if not len(s):
                     continue
                 p = _prefix(s, None, num, den)
@@ -213,26 +234,36 @@ def frequent_bits(docs: DataFrame, num: int, den: int) -> tuple[np.ndarray, int]
     def total(key, table):
         part = key[0].as_py()
         if part < 0:
-            out = np.sum([np.frombuffer(x.as_py(), np.int64) for x in table["cells"]], axis=0).tobytes()
-        else:
-            got = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table["cells"]])
-            n = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table["counts"]])
-            order = np.argsort(got, kind="stable")
-            got, n = got[order], n[order].astype(np.int64)
-            first = np.flatnonzero(np.concatenate(([True], got[1:] != got[:-1])))
-            often = got[first][np.add.reduceat(n, first) > FREQUENT]
-            out = np.unique(often & np.uint64(FILTER_BITS - 1)).astype(np.uint32).tobytes()
-        return pa.table({"part": pa.array([part], pa.int32()), "cells": pa.array([out], pa.binary())})
-
-    rows = docs.mapInArrow(cells, "part int, cells binary, counts binary").groupBy("part").applyInArrow(total, "part int, cells binary")
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+            return pa.table({"level": pa.array([part], pa.int32()), "cells": pa.array([np.sum([np.frombuffer(x.as_py(), np.int64) for x in table["cells"]], axis=0).tobytes()], pa.binary())})
+        got = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table["cells"]])
+        n = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table["counts"]])
+        order = np.argsort(got, kind="stable")
+        got, n = got[order], n[order].astype(np.int64)
+        first = np.flatnonzero(np.concatenate(([True], got[1:] != got[:-1])))
+        sums = np.add.reduceat(n, first)
+        often, level = got[first][sums > FREQUENT], np.log2(sums[sums > FREQUENT]).astype(np.int32)
+        levels = np.unique(level)
+        cells = [np.unique(often[level == x] & np.uint64(MAP - 1)).astype(np.uint32).tobytes() for x in levels]
+        return pa.table({"level": pa.array(levels, pa.int32()), "cells": pa.array(cells, pa.binary())})
+
+    rows = docs.mapInArrow(cells, "part int, cells binary, counts binary").groupBy("part").applyInArrow(total, "level int, cells binary")
+    counted = Table(rows, "jaccard-frequent")
+    least, total_ = 64, 0
+    sizes = {r["level"]: r["cells"] for r in counted.df.where("level >= 0").groupBy("level").agg(F.sum(F.octet_length("cells") / 4).alias("cells")).collect()}
+    for level in sorted(sizes, reverse=True):  # powers of two of the counts
+        total_ += sizes[level]
+        if total_ > MOST_FREQUENT:
+            break
+        least = level
+    bits = np.zeros(MAP // 8, np.uint8)
     sketch = {}
-    for r in rows.collect():  # at most 4 bytes a cell of the map, and 64 sketches
-        if r["part"] < 0:
-            sketch[-1 - r["part"]] = np.frombuffer(bytes(r["cells"]), np.int64)
+    for r in counted.df.where((F.col("level") < 0) | (F.col("level") >= least)).collect():  # 4 bytes for each of MOST_FREQUENT, and 64 sketches
+        if r["level"] < 0:
+            sketch[-1 - r["level"]] = np.frombuffer(bytes(r["cells"]), np.int64)
         else:
             hot = np.frombuffer(bytes(r["cells"]), np.uint32)
             np.bitwise_or.at(bits, hot >> 3, (1 << (hot & 7)).astype(np.uint8))
+    counted.drop()
     return bits, size_boundary(sketch, num, den)
 
 
@@ -359,16 +390,16 @@ def _across(keys: np.ndarray, at: np.ndarray, size: np.ndarray, comp: np.ndarray
     return np.concatenate(out_i), np.concatenate(out_j)
 
 
-def _entries(docs: DataFrame, count: int, shared, boundary: int, salt: int, num: int, den: int, only=None) -> DataFrame:
+def _entries(docs: DataFrame, count: int, shared, boundary: int, ids: Ids, num: int, den: int, only=None) -> DataFrame:
     """Packed entries of the inverted lists; ``only``: a broadcast filter of class ids. A task gives out each class once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, out, seen = shared.value, _Buckets(count), set()
         for batch in batches:
-            for _, s in _texts(batch):
+            for s in _sets(batch):
                 if len(s) < 2:  # a set of one shingle links only with its equals
                     continue
-                c, _ = class_id(s, salt)
+                c = ids(s)
                 if c in seen or (only is not None and not in_filter(only.value, c)):
                     continue
                 seen.add(c)
@@ -382,7 +413,7 @@ def _entries(docs: DataFrame, count: int, shared, boundary: int, salt: int, num:
     return docs.mapInArrow(run, "bucket int, keys binary, n binary, ids binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, salt: int, num: int, den: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ids: Ids, num: int, den: int) -> DataFrame:
     """Those of ``pairs(a, b)`` of class ids whose sets reach the threshold, exactly. Bitmaps drop most others first."""
     side = lambda x: classes.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
 
@@ -392,21 +423,27 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, salt: int, n
             yield t.select([0, 1]).filter(pa.array(can_link(t.column(2).to_numpy(), t.column(4).to_numpy(), d, num, den)))
 
     left = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "bitsa", "nb", "bitsb").mapInArrow(hopeful, "a long, b long")
-    left = written(left, "jaccard-pairs")
-    only = docs.sparkSession.sparkContext.broadcast(id_filter(left.select(F.explode(F.array("a", "b")).alias("id"))))
+    pairs_ = Table(left, "jaccard-pairs")
+    left = pairs_.df
+    only = docs.sparkSession.sparkContext.broadcast(id_filter(left.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            ids, out = [], []
-            for _, s in _texts(batch):
-                if len(s) and in_filter(only.value, c := class_id(s, salt)[0]):
-                    ids.append(c)
+            cids, out = [], []
+            for s in _sets(batch):
+                if len(s) and (c := ids(s)) not in seen and in_filter(only.value, c):
+                    cids.append(c)
                     out.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["cid", "s"])
+                    seen.add(c)
+                    if len(seen) > 1_000_000:
+                        seen.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(out, pa.binary())], names=["cid", "s"])
 
     wanted = left.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     found = docs.mapInArrow(sets, "cid long, s binary").join(wanted, "cid", "left_semi").groupBy("cid").agg(F.first("s").alias("s"))
-    found = written(found, "jaccard-sets")
+    sets_ = Table(found, "jaccard-sets")
+    found = sets_.df
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
@@ -420,7 +457,10 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, salt: int, n
             yield t.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     named = lambda x: found.select(F.col("cid").alias(x), F.col("s").alias(f"s{x}"))
-    return left.join(named("a"), "a").join(named("b"), "b").select("a", "b", "sa", "sb").mapInArrow(exact, "a long, b long")
+    out = written(left.join(named("a"), "a").join(named("b"), "b").select("a", "b", "sa", "sb").mapInArrow(exact, "a long, b long"), "jaccard-links")
+    pairs_.drop()
+    sets_.drop()
+    return out
 
 
 def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -433,38 +473,49 @@ def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataF
     component of their text's class if others are in it, else null. Other columns are ignored. Shingles are
     compared by 64-bit hashes.
     """
-    spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
+    sc = docs.sparkSession.sparkContext
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    for salt in range(8):
-        feats = written(features(docs, salt), "jaccard-features")
-        sets = feats.where("n > 0")
-        classes = sets.groupBy("cid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("digest").alias("lo"), F.max("digest").alias("hi"))
-        if classes.where("lo != hi").isEmpty():  # else two sets share 64 bits: once in 10^9 documents or so
-            break
-    classes = classes.drop("lo", "hi")
-    frequent, boundary = frequent_bits(docs, num, den)
-    shared = sc.broadcast(frequent)
+    feats = written(features(docs), "jaccard-features")
+    two = feats.where("n > 0").groupBy("cid").agg(F.min("other").alias("lo"), F.max("other").alias("hi")).where("lo != hi").select("cid").take(Ids.TAKEN + 1)
+    if len(two) > Ids.TAKEN:
+        raise ValueError("too many sets share 64 bits of their digests")
+    ids = Ids(frozenset(r["cid"] for r in two))
+    if two:
+        feats = feats.withColumn("cid", F.when(F.col("cid").isin([r["cid"] for r in two]), F.col("other")).otherwise(F.col("cid")))
+        if not feats.where("n > 0").groupBy("cid").agg(F.min("other").alias("lo"), F.max("other").alias("hi")).where("lo != hi").isEmpty():
+            raise ValueError("two sets share all bits of their ids")
+    sets = feats.where("n > 0")
+    named = Table(sets.groupBy("cid").agg(F.first("n").alias("n"), F.max("bits").alias("bits"), F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "jaccard-classes")
+    classes = named.df
     p = f"(n - ({num} * n + {den - 1}) div {den} + 1)"
+    prefixes = sets.agg(F.sum(F.expr(f"{p} + 1"))).first()[0] or 0
+    frequent, boundary = frequent_bits(docs, int(prefixes), num, den)
+    shared = sc.broadcast(frequent)
     entries = f"if(n <= {boundary}, {p} * ({p} + 1) div 2, 0) + if(n > {boundary} or {den} * n >= {num * (boundary + 1)}, {p}, 0)"
     keys = sets.where("n > 1").agg(F.sum(F.expr(entries))).first()[0] or 0
     count = max(1, -(-int(keys) // BUCKET))
-    star = _entries(docs, count, shared, boundary, salt, num, den).groupBy("bucket").applyInArrow(_star(num, den), "a long, b long, bucket int")
-    star = written(star, "jaccard-stars")
-    links = written(verified(star.where("b is not null").select("a", "b").distinct(), docs, classes, salt, num, den), "jaccard-links")
-    comps = written(components(links), "jaccard-components")
-    crowd = star.where("b is null").select(F.col("a").alias("owner"), "bucket")
-    alone = comps.select(F.col("node").alias("owner"), F.col("component").alias("found"))
+    star = _entries(docs, count, shared, boundary, ids, num, den).groupBy("bucket").applyInArrow(_star(num, den), "a long, b long, bucket int")
+    stars = Table(star, "jaccard-stars")
+    links = verified(stars.df.where("b is not null").select("a", "b").distinct(), docs, classes, ids, num, den)
+    comps = Table(components(links), "jaccard-components")
+    crowd = stars.df.where("b is null").select(F.col("a").alias("owner"), "bucket")
+    alone = comps.df.select(F.col("node").alias("owner"), F.col("component").alias("found"))
     beside = crowd.join(alone, "owner", "left").select("owner", "bucket", F.coalesce("found", "owner").alias("comp"))
     beside = beside.join(classes.select(F.col("cid").alias("owner"), "bits"), "owner")
-    only = sc.broadcast(id_filter(crowd.select(F.col("owner").alias("id"))))
-    again = _entries(docs, count, shared, boundary, salt, num, den, only)
-    apart = again.groupBy("bucket").cogroup(beside.groupBy("bucket")).applyInArrow(_apart(num, den), "a long, b long")
-    more = verified(written(apart.distinct(), "jaccard-apart"), docs, classes, salt, num, den)
-    edges = comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
-    joined = components(written(edges, "jaccard-edges")).select(F.col("node").alias("cid"), "component")
-    named = sets.groupBy("cid").agg(F.min("doc_id").alias("rep")).join(joined, "cid", "left").select("cid", "rep", F.coalesce("component", "cid").alias("component"))
-    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = named.join(least, "component").select("cid", "component_id")
-    full = sets.join(of_class, "cid").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    rows = full.union(feats.where("n = 0").select("doc_id", "n", "doc_id"))
-    return rows
+    only = sc.broadcast(id_filter(crowd.select(F.col("owner").alias("id")).distinct()))
+    again = _entries(docs, count, shared, boundary, ids, num, den, only)
+    apart = Table(again.groupBy("bucket").cogroup(beside.groupBy("bucket")).applyInArrow(_apart(num, den), "a long, b long"), "jaccard-apart")
+    more = verified(apart.df.distinct(), docs, classes, ids, num, den)
+    joined = components(comps.df.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)).select(F.col("node").alias("cid"), "component")
+    placed = classes.select("cid", "rep", "copies").join(joined, "cid", "left").select("cid", "rep", "copies", F.coalesce("component", "cid").alias("component"))
+    least = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
+    of_class = written(placed.join(least, "component").select("cid", "copies", "component_id"), "jaccard-results")
+    for t in (stars, comps, apart, named):
+        t.drop()
+    # hot classes are few and travel to their rows
+    hot_from = sets.count() // HOT
+    hot, rest = F.broadcast(of_class.where(F.col("copies") > hot_from).drop("copies")), of_class.where(F.col("copies") <= hot_from)
+    result = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
+    rows = sets.select("doc_id", "n", "cid")
+    full = rows.join(hot, "cid").select(*result).union(rows.join(hot.select("cid"), "cid", "left_anti").join(rest, "cid").select(*result))
+    return full.union(feats.where("n = 0").select("doc_id", "n", "doc_id"))
