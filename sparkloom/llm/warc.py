@@ -7,9 +7,9 @@ each record, so a record can be read with the dictionary alone. Payloads that an
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 import struct
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,8 +26,8 @@ SKIPPABLE, DICTIONARY = 0x184D2A5D, b"\x37\xa4\x30\xec"
 FRAME = 0xFD2FB528
 #: Uncompressed bytes after which a new archive begins; of the records that the dictionary is trained on; and its size.
 ARCHIVE_BYTES, SAMPLE_BYTES, DICTIONARY_BYTES = 256 << 20, 4 << 20, 64 << 10
-#: Payloads below this are never revisits.
-MIN_REVISIT = 100
+#: Payloads below this are never revisits. A digest of more than one in HOT rows is hot.
+MIN_REVISIT, HOT = 100, 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -120,38 +120,54 @@ def read_archive(stream) -> Iterator[bytes]:
             raw = zstandard.ZstdDecompressor().decompress(raw)
         dictionary, rest = zstandard.ZstdCompressionDict(raw), b""
     reader = zstandard.ZstdDecompressor(dict_data=dictionary) if dictionary else zstandard.ZstdDecompressor()
+    at = 0  # what comes before ``at`` in ``rest`` is read; it goes with the next block, so no byte is copied twice
     while True:
-        if not rest:
-            rest = stream.read(1 << 20)
-            if not rest:
-                return
         one, out = reader.decompressobj(), []
-        while True:
-            out.append(one.decompress(rest))
-            if one.eof:
-                rest = one.unused_data
-                break
-            rest = stream.read(1 << 20)
-            if not rest:
-                raise ValueError("the archive ends within a record")
+        step = 1 << 14
+        while not one.eof:
+            if at == len(rest):
+                rest, at = stream.read(1 << 20), 0
+                if not rest:
+                    if out:
+                        raise ValueError("the archive ends within a record")
+                    return
+            some = rest[at : at + step]
+            out.append(one.decompress(some))
+            at += len(some)
+            step = 1 << 20
+        at -= len(one.unused_data)
         yield b"".join(out)
 
 
+#: Names that Hadoop has for stores that Arrow knows by another one.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "viewfs": "hdfs"}
+
+
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    scheme, sep, rest = path.partition("://")
+    if not sep:
+        return pafs.FileSystem.from_uri("file://" + path.removeprefix("file:"))
+    return pafs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
 
 
 def plan_records(pages: DataFrame) -> DataFrame:
     """``pages(page_id, url, html)`` with payload, digest, revisit and refers_to.
 
-    Of payloads of at least MIN_REVISIT bytes that several rows have, the row with the smallest page_id is the response; rows that repeat that
-    page_id and payload are responses too; rows with a null page_id revisit if there is a response. Counts are
-    aggregated before the shuffle, and the join may be split, so a payload that a third of all pages have is no problem.
+    Of payloads of at least MIN_REVISIT bytes that several rows have, the row with the smallest page_id is the response;
+    rows that repeat that page_id and payload are responses too; rows with a null page_id revisit if there is a
+    response. Counts are aggregated before the shuffle. Digests that more than one in HOT rows have are fewer than HOT and
+    are broadcast, so a payload that a third of all pages have doesn't move; small payloads are dealt out by page.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    light = rows.where(F.octet_length("payload") >= MIN_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    rows = rows.join(light.where("n > 1 and first is not null").select("digest", "first"), "digest", "left")
+    large = F.octet_length("payload") >= MIN_REVISIT
+    light = rows.where(large).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    light = written(light.where("n > 1 and first is not null").select("digest", "first", "n"), "warc-repeats")
+    hot_from = rows.count() // HOT
+    hot, rest = F.broadcast(light.where(F.col("n") > hot_from).select("digest", "first")), light.where(F.col("n") <= hot_from).select(F.col("digest").alias("key"), "first")
+    other = rows.join(hot.select("digest"), "digest", "left_anti").withColumn("key", F.when(large, F.col("digest")).otherwise(F.concat(F.lit("page:"), F.coalesce(F.col("page_id").cast("string"), F.col("url"), F.lit("")))))
+    names = ["page_id", "url", "payload", "digest", "first"]
+    rows = rows.join(hot, "digest").select(*names).union(other.join(rest, "key", "left").select(*names))
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return rows.select("page_id", "url", "payload", "digest", revisit.alias("revisit"), F.when(revisit, F.col("first")).alias("refers_to"))
 
@@ -159,32 +175,33 @@ def plan_records(pages: DataFrame) -> DataFrame:
 def write_archives(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write all pages as archives in ``folder``, a URI that all executors reach; -> path, records, bytes of each archive.
 
-    A task writes under a name of its own attempt and then renames, so a task that runs again replaces its archives.
-    Records stream; a task holds one batch and the dictionary's sample. Null html is an empty payload. No rows, no archives.
+    An archive has the task's attempt in its name and is never written again. The manifest is a table that Spark commits,
+    so it has the archives of one attempt of each task, and those of lost, late or speculative ones are deleted.
+    Records stream; a task holds one batch and the dictionary's sample. Null html is an empty payload. No rows, no
+    archives. Folders are those that Arrow can write (local and shared paths, hdfs, s3, gs, abfs, by Hadoop's names too).
     """
     planned = plan_records(pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         fs, root = _open(folder)
-        writer, number, made = None, 0, []
-        temporary = f"{root}/.attempt-{task.taskAttemptId()}-{os.getpid()}"
+        attempt = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
+        writer, made = None, []
 
         def finish():
-            nonlocal writer, number
+            nonlocal writer
             if writer:
                 writer.close()
-                name = f"part-{task.partitionId():06d}-{number:05d}.warc.zst"
-                fs.move(temporary, f"{root}/{name}")
                 made.append((f"{folder}/{name}", writer.records, writer.bytes))
-                writer, number = None, number + 1
+                writer = None
 
         for batch in batches:
             columns = [batch.column(i) for i in range(6)]
             for i in range(len(batch)):
                 page, url, payload, digest, revisit, first = (c[i].as_py() for c in columns)
                 if writer is None:
-                    writer = Writer(fs.open_output_stream(temporary, compression=None))
+                    name = f"{attempt}-{len(made):05d}.warc.zst"
+                    writer = Writer(fs.open_output_stream(f"{root}/{name}", compression=None))
                 writer.add(make_record(page, url, payload, digest, first, revisit, date))
                 if writer.bytes >= archive_bytes:
                     finish()
@@ -193,8 +210,14 @@ def write_archives(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:
 
     spark = pages.sparkSession
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(jvm_path)
-    return written(planned.mapInArrow(run, "path string, records long, bytes long"), "warc-manifest")
+    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(jvm_path)
+    manifest = written(planned.mapInArrow(run, "path string, records long, bytes long"), "warc-manifest")
+    named = {r["path"].rpartition("/")[2] for r in manifest.select("path").toLocalIterator()}  # one name for each archive
+    for f in fs.listStatus(jvm_path):
+        if f.getPath().getName() not in named:
+            fs.delete(f.getPath(), False)
+    return manifest
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
