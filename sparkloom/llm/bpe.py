@@ -10,12 +10,12 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: Distinct pre-tokens that a worker remembers before it starts afresh.
@@ -35,20 +35,30 @@ def read_ranks(path: str) -> list[bytes]:
 class PerfectHash:
     """Minimal perfect hash by hash and displace: as many slots as keys, one displacement for each bucket.
 
-    A key's two hashes are CRCs with different starts; bucket = h1 mod buckets; slot = (h1 * a + h2 + d) mod keys with
-    the bucket's displacement d found by trial, largest buckets first. ``find`` compares the key in the slot, so
-    strangers are never mistaken for members.
+    A key's two hashes are the halves of its 64-bit xxHash; bucket = high mod buckets; the slot is made of low and the
+    bucket's displacement d, found by trial, largest buckets first. Where keys share all 64 bits or a bucket takes too
+    many trials, another seed is taken. ``find`` compares the key in the slot, so strangers are never mistaken for members.
     """
 
-    SEED1, SEED2 = 0, 0x5BD1E995
+    #: Seeds and displacements that are tried.
+    SEEDS, TRIALS = 16, 1 << 32
 
     def __init__(self, keys: list[bytes], load: int = 4) -> None:
+        if len(set(keys)) != len(keys):
+            raise ValueError("keys are repeated")
+        for self.seed in range(self.SEEDS):
+            if self._build(keys, load):
+                return
+        raise ValueError("no seed gives a perfect hash")
+
+    def _build(self, keys: list[bytes], load: int) -> bool:
         self.keys, self.n = keys, max(1, len(keys))
         self.buckets = max(1, len(keys) // load)
         n = self.n
         groups: list[list[int]] = [[] for _ in range(self.buckets)]
-        for i, k in enumerate(keys):
-            groups[zlib.crc32(k, self.SEED1) % self.buckets].append(i)
+        hashes = [xxhash.xxh64_intdigest(k, self.seed) for k in keys]
+        for i, h in enumerate(hashes):
+            groups[(h >> 32) % self.buckets].append(i)
         self.shift = np.zeros(self.buckets, np.uint32)
         self.slots = np.full(n, -1, np.int32)
         free = np.ones(n, bool)
@@ -56,7 +66,7 @@ class PerfectHash:
             members = groups[b]
             if not members:
                 break
-            h = np.array([zlib.crc32(keys[i], self.SEED2) for i in members], np.uint64)
+            h = np.array([hashes[i] & 0xFFFFFFFF for i in members], np.uint64)
             if len(members) == 1:  # any free slot will do
                 slot = int(np.argmax(free))
                 d, at = (slot - int(h[0])) % n, np.array([slot])
@@ -73,12 +83,13 @@ class PerfectHash:
                         at, d = slots[d], first + d
                         break
                     first += 256
-                    if first >= 1 << 31:
-                        raise ValueError("two keys share both hashes")
+                    if first >= self.TRIALS:
+                        return False
                 d |= 1 << 31
             self.shift[b] = d
             self.slots[at] = members
             free[at] = False
+        return True
 
     def _slot(self, h: np.ndarray, d: np.ndarray) -> np.ndarray:
         """Slots of the hashes of a bucket of several keys: scrambled by the displacement."""
@@ -88,8 +99,8 @@ class PerfectHash:
 
     def find(self, key: bytes) -> int:
         """The key's position, or -1."""
-        d = int(self.shift[zlib.crc32(key, self.SEED1) % self.buckets])
-        h = zlib.crc32(key, self.SEED2)
+        h = xxhash.xxh64_intdigest(key, self.seed)
+        d, h = int(self.shift[(h >> 32) % self.buckets]), h & 0xFFFFFFFF
         if d >> 31:
             x = ((h ^ ((d & 0x7FFFFFFF) * 0x9E3779B1 & 0xFFFFFFFF)) * 0x85EBCA6B) & 0xFFFFFFFF
             slot = (x ^ (x >> 15)) % self.n
@@ -100,9 +111,9 @@ class PerfectHash:
 
 
 def pair_ranks(tokens: list[bytes]) -> dict[int, int]:
-    """left id << 20 | right id -> id of the joined token, for every split of every token into two tokens."""
+    """left id << 32 | right id -> id of the joined token, for every split of every token into two tokens."""
     ids = {t: i for i, t in enumerate(tokens)}
-    return {a << 20 | b: i for i, t in enumerate(tokens) for k in range(1, len(t)) if (a := ids.get(t[:k])) is not None and (b := ids.get(t[k:])) is not None}
+    return {a << 32 | b: i for i, t in enumerate(tokens) for k in range(1, len(t)) if (a := ids.get(t[:k])) is not None and (b := ids.get(t[k:])) is not None}
 
 
 def merge_bytes(data: bytes, byte_ids: list[int], pairs: dict[int, int]) -> list[int]:
@@ -114,7 +125,7 @@ def merge_bytes(data: bytes, byte_ids: list[int], pairs: dict[int, int]) -> list
     n = len(data)
     ids = [byte_ids[b] for b in data]
     get = pairs.get
-    rank_at = [get(a << 20 | b, -1) for a, b in zip(ids, ids[1:], strict=False)]
+    rank_at = [get(a << 32 | b, -1) for a, b in zip(ids, ids[1:], strict=False)]
     rank_at.append(-1)
     heap = [r << 32 | i for i, r in enumerate(rank_at) if r >= 0]
     heapq.heapify(heap)
@@ -130,14 +141,14 @@ def merge_bytes(data: bytes, byte_ids: list[int], pairs: dict[int, int]) -> list
         ids[i], ids[j], rank_at[j] = r, -1, -1
         if k < n:
             left[k] = i
-            q = rank_at[i] = get(r << 20 | ids[k], -1)
+            q = rank_at[i] = get(r << 32 | ids[k], -1)
             if q >= 0:
                 push(heap, q << 32 | i)
         else:
             rank_at[i] = -1
         h = left[i]
         if h >= 0:
-            q = rank_at[h] = get(ids[h] << 20 | r, -1)
+            q = rank_at[h] = get(ids[h] << 32 | r, -1)
             if q >= 0:
                 push(heap, q << 32 | h)
     return [x for x in ids if x >= 0]
