@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, text_words
+from .common import mix, text_words, word_pieces, written
 
 #: Word edits a word of the item that a match may have: similarity 0.8.
 EDITS_NUM, EDITS_DEN = 1, 5
@@ -26,8 +26,6 @@ REPEATS = 16
 REACH = -(-EDITS_DEN // EDITS_NUM)
 #: Characters of items that are searched in one pass; more items take more passes.
 BLOCK_CHARS = 16_000_000
-#: Words of a batch that are walked at once.
-BATCH_WORDS = 2_000_000
 
 
 def walk_bit(step: int, repeat: int, words: np.ndarray) -> np.ndarray:
@@ -88,12 +86,12 @@ class Index:
                 break
         return best[1], np.array(best[2], np.uint64)
 
-    def candidates(self, words: np.ndarray) -> set[tuple[int, int]]:
-        """(item, word where it would begin) over an array of words that ends with REACH zeros."""
+    def candidates(self, words: np.ndarray) -> set[tuple[int, int, int]]:
+        """(item, word where it would begin, first word of the piece found) over an array of words that ends with REACH zeros."""
         mask = self.first[(words & np.uint64(0xFFFF)).astype(np.int64)]
         hopeful = np.flatnonzero(mask)
         bits = mask[hopeful]
-        found: set[tuple[int, int]] = set()
+        found: set[tuple[int, int, int]] = set()
         for t in range(REPEATS):
             begin = hopeful[(bits >> np.uint32(t)) & 1 == 1]
             at, key = begin, np.zeros(len(begin), np.uint64)
@@ -107,7 +105,7 @@ class Index:
                 whole, ends = _among(self.whole[t][j], key), self.ends[t][j]
                 for b, x in zip(begin[whole].tolist(), key[whole].tolist(), strict=True):
                     for item, anchor in ends[x]:
-                        found.add((item, b - anchor))
+                        found.add((item, b - anchor, b))
                 at = at + walk_bit(j, t, symbol)
         return found
 
@@ -170,6 +168,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         words = [(r["item_id"], text_words(r["text"])) for r in part.orderBy("item_id", "text").toLocalIterator()]
         shared = sc.broadcast([(i, w) for i, w in words if len(w)])
         found = rows.mapInArrow(_search(shared), "doc_id long, item_id long, edits long, end_word long")
+        if passes > 1:  # one pass after the other, each with its items only
+            found = written(found, "benchmark-matches")
+            shared.destroy()
         out = found if out is None else out.union(found)
     return out
 
@@ -189,16 +190,10 @@ def _search(shared):
         index = _index(shared)
         gap = np.zeros(REACH + 1, np.uint64)
         for batch in batches:
-            held, size = [], 0
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                w = text_words(t.as_py())
-                if len(w):
-                    held.append((i, w))
-                    size += len(w)
-                if size > BATCH_WORDS:
-                    yield _matches(index, held, gap)
-                    held, size = [], 0
-            yield _matches(index, held, gap)
+            ids = batch.column(0).to_pylist()
+            for begin, words, start in word_pieces(batch.column(1).cast(pa.binary()).to_pylist()):
+                parts = ((ids[begin + k], words[a:b]) for k, (a, b) in enumerate(zip(start[:-1].tolist(), start[1:].tolist(), strict=True)))
+                yield _matches(index, [(i, w) for i, w in parts if len(w)], gap)
 
     return run
 
@@ -210,27 +205,26 @@ def _matches(index: Index, held: list[tuple[int, np.ndarray]], gap: np.ndarray)
         starts = np.cumsum(sizes) - sizes
         words = np.concatenate([x for _, w in held for x in (w, gap)])
         tried: set[tuple[int, int, int]] = set()
-        for x, b in sorted(index.candidates(words)):
+        for x, b, piece in sorted(index.candidates(words)):
             item = index.items[x][1]
             k = allowed_edits(len(item))
-            # the anchor's word tells the document: the item may begin before its text
-            d = int(np.searchsorted(starts, min(max(b + len(item) - 1, 0), len(words) - 1), side="right")) - 1
-            for doc in {int(np.searchsorted(starts, max(b, 0), side="right")) - 1, d}:
-                w = held[doc][1]
-                lo = b - int(starts[doc]) - k
-                near = (x, doc, lo // (k + 1))
-                if near in tried:
-                    continue
-                tried.add(near)
-                lo -= k + 1  # covers all beginnings that share ``near``
-                stretch = w[max(0, lo) : max(0, lo + len(item) + 4 * k + 3)]
-                if sum(map(index.words[x].__contains__, stretch.tolist())) < len(item) - k:
-                    continue  # too few of its words are the item's
-                edits, end = best_match(item, stretch)
-                if edits <= k and len(stretch):
-                    got = best.get((doc, x))
-                    now = (edits, max(0, lo) + end)
-                    best[doc, x] = min(got, now) if got else now
+            # the piece tells the document: the item may begin before its text
+            doc = int(np.searchsorted(starts, piece, side="right")) - 1
+            w = held[doc][1]
+            lo = b - int(starts[doc]) - k
+            near = (x, doc, lo // (k + 1))
+            if near in tried:
+                continue
+            tried.add(near)
+            lo -= k + 1  # covers all beginnings that share ``near``
+            stretch = w[max(0, lo) : max(0, lo + len(item) + 4 * k + 3)]
+            if sum(map(index.words[x].__contains__, stretch.tolist())) < len(item) - k:
+                continue  # too few of its words are the item's
+            edits, end = best_match(item, stretch)
+            if edits <= k and len(stretch):
+                got = best.get((doc, x))
+                now = (edits, max(0, lo) + end)
+                best[doc, x] = min(got, now) if got else now
     keys = list(best)
     return pa.RecordBatch.from_arrays(
         [pa.array([held[d][0] for d, _ in keys], pa.int64()), pa.array([index.items[x][0] for _, x in keys], pa.int64()), pa.array([best[k][0] for k in keys], pa.int64()), pa.array([best[k][1] for k in keys], pa.int64())],
