@@ -232,14 +232,14 @@ def held_out(doc_id: str) -> Column:
 
 
 def learn(docs: DataFrame) -> Model:
-    """Fit on documents that aren't held out and have lang and text: of each language the SAMPLE_TEXTS first texts in the
-    order of a hash of doc_id. The driver gets this sample only, bounded for each language."""
+    """Fit on documents that aren't held out and have lang and text: of each language the SAMPLE_TEXTS first doc_ids in the
+    order of a hash. The driver gets this sample only, bounded for each language. Rows that share doc_id and lang count
+    once, with the first of their texts."""
     known = docs.where(~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    ranked = known.select("doc_id", "lang", F.md5(F.col("doc_id").cast("string").cast("binary")).alias("h"))
-    first = ranked.select("*", F.expr("row_number() OVER (PARTITION BY lang ORDER BY h, doc_id)").alias("r")).where(F.col("r") <= SAMPLE_TEXTS).groupBy("doc_id", "lang").agg(F.min("r").alias("r"))
+    ranked = known.select("doc_id", "lang").distinct().select("*", F.md5(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    first = ranked.select("*", F.expr("row_number() OVER (PARTITION BY lang ORDER BY h, doc_id)").alias("r")).where(F.col("r") <= SAMPLE_TEXTS).select("doc_id", "lang", "r")
     found = known.select("doc_id", "lang", F.substring("text", 1, TEXT_CHARS).alias("text")).join(F.broadcast(first), ["doc_id", "lang"])
-    # at most SAMPLE_TEXTS rows a language, repeated doc_ids included
-    rows = found.select("*", F.expr("row_number() OVER (PARTITION BY lang ORDER BY r, text)").alias("n")).where(F.col("n") <= SAMPLE_TEXTS).orderBy("lang", "n").collect()
+    rows = found.groupBy("lang", "r").agg(F.min("text").alias("text")).orderBy("lang", "r").collect()
     texts: dict[str, list[str]] = {}
     for r in rows:
         texts.setdefault(r["lang"], []).append(r["text"])
