@@ -82,6 +82,20 @@ def test_jaccard_join(spark, groups, size, words, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got if r["doc_id"] is not None} == want
 
 
+def test_jaccard_join_of_shared_digests(spark, monkeypatch):
+    """Different sets whose first 64 bits are equal stay apart; a class that most rows have is joined by broadcast."""
+    both = jaccard_join.Ids.both
+    monkeypatch.setattr(jaccard_join.Ids, "both", staticmethod(lambda s: (both(s)[0] % 7, both(s)[1])))
+    texts = near_copies(3, 6, 5, 40)
+    texts |= {1000 + i: "the same text for most of all rows" for i in range(2500)}
+    ids = jaccard_join.Ids(frozenset(range(7)))
+    assert len({ids(np.array([i], np.uint64)) for i in range(50)}) == 50
+    monkeypatch.undo()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(spark.createDataFrame([(i, t, "", 1) for i, t in texts.items()], DOCS)).collect()}
+    want = brute_jaccard({i: t for i, t in texts.items() if i <= 1000})
+    assert {i: got[i] for i in want} == want and all(got[i] == got[1000] for i in range(1000, 3500))
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.jaccard_components(spark.createDataFrame([], DOCS)).count() == 0
 
@@ -117,6 +131,27 @@ def test_embedding_links(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embedding_links_of_odd_rows(spark):
+    """Null and repeated vec_ids, and vectors of any length."""
+    near, far = [1.0, 0.1, 0.0], [0.0, 0.0, 1.0]
+    rows = [(5, near, 1), (None, [1.0, 0.11, 0.0], 1), (6, [1.0, 0.0, 0.0], 1), (7, near, 2), (7, far, 1), (8, [x * 1e-170 for x in near], 1), (9, [x * 1e170 for x in near], 1), (None, [5.0, 5.0, 5.0], 3), (10, [5e-324, 0.0, 0.0], 4), (11, [1e308, 0.0, 0.0], 4)]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    want = [(5, 4, 5, True), (None, 4, 5, False), (6, 4, 5, False), (7, 0, 7, True), (7, 0, 7, True), (8, 4, 5, False), (9, 4, 5, False), (None, 0, None, False), (10, 1, 10, True), (11, 1, 10, False)]
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
+def test_embedding_dedup_of_many_copies(spark):
+    """A vector that most rows have, beside others: its class is joined by broadcast."""
+    rows = [(i, [1.0, 0.0], 0) for i in range(3000)] + [(5000 + i, [float(i + 1), 1.0], 0) for i in range(40)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v, _ in rows if i == 0 or i >= 5000}
+    near = {i: [j for j in unit if j != i and unit[i] @ unit[j] >= 0.98] for i in unit}
+    assert all(got[i] == (2999 + len(near[0]), 0) for i in range(3000))
+    for i in unit:
+        if i:
+            assert got[i][0] == len(near[i]) + (2999 if 0 in near[i] else 0)
+
+
 def test_quantisation_bounds_hold():
     rng = np.random.default_rng(5)
     a, b = rng.normal(size=(80, 48)), rng.normal(size=(70, 48))

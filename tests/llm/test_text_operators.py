@@ -215,6 +215,30 @@ def test_languages_of_large_alphabets(spark):
     assert {i: x for i, x in got.items() if truth[i] in taught} == {i: x for i, x in truth.items() if x in taught}
 
 
+def test_languages_are_learnt_whatever_is_repeated(spark):
+    """One row that is repeated doesn't crowd out the other rows or languages."""
+    rows = [(1, "de", "der die und das ist nicht")] * 500 + [(10 + i, lang, f"{text} {i}") for i in range(40) for lang, text in (("de", "ein haus und ein baum"), ("en", "the of and was with her"), ("en", "a house and a tree"))]
+    model = language_id.learn(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert model.languages == ["de", "en"]
+    assert language_id.predict(["was the house with her", "ein haus ist das"], model)[0] == ["en", "de"]
+    two = spark.createDataFrame([(1, "en", "b b"), (1, "en", "a a"), (1, "fr", "c c")], "doc_id long, lang string, text string")
+    assert language_id.learn(two).languages == ["en", "fr"]
+
+
+def test_perfect_hash_takes_another_seed():
+    keys = [b"%04d" % i for i in range(3000)]
+    table = bpe.PerfectHash(keys)
+    assert all(table.find(k) == i for i, k in enumerate(keys)) and sorted(table.slots) == list(range(3000))
+    with pytest.raises(ValueError):
+        bpe.PerfectHash([b"a", b"a"])
+
+
+def test_archives_are_read_from_any_name():
+    for uri, kind in (("/tmp/x", "local"), ("file:/tmp/x", "local"), ("file:///tmp/x", "local")):
+        fs, path = warc._open(uri)
+        assert fs.type_name == kind and path == "/tmp/x"
+
+
 def test_language_id(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     extra = spark.createDataFrame([(10**6, None, None), (10**6 + 1, "", "en"), (10**6 + 2, "123 !?", "fr"), (None, "the of and", None)], "doc_id long, text string, lang string")
