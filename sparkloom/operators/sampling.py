@@ -6,8 +6,11 @@ cap only adds rows.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def seeded(seed: int | str, *columns: str | Column) -> Column:
@@ -79,33 +82,57 @@ def budget_stop(df: DataFrame, group: list[str], key: str, size: str, seed: int,
     return df.withColumn("__sum", F.sum(size).over(w)).withColumn(out, ~F.bool_or(F.col("__sum") > budget).over(w)).drop("__sum")
 
 
-def greedy_budget(df: DataFrame, group: list[str], order: list[str], size: str, budget: float) -> DataFrame:
-    """Rows that fit, taken in order, skipping those that don't: an ordered fold over each group's rows in one row.
+def _folded(df: DataFrame, group: list[str], order: list[str], fold, added: T.StructType) -> DataFrame:
+    """``fold(columns by name)`` over each group's rows, sorted: it gives the rows that stay and what is added to them.
 
-    Not a prefix, so it can't be a window. A group is the set of candidates of one decision and meets in one row.
+    A group is the set of candidates of one decision, whose outcome depends on all before it; its rows meet in one task, are
+    sorted once and passed once.
     """
-    rest = [c for c in df.columns if c not in group]
-    rows = df.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(*order, *[c for c in rest if c not in order]))).alias("rows"))
-    kind = rows.schema["rows"].dataType.elementType.simpleString()
-    step = f"""aggregate(rows, named_struct('total', cast(0 as double), 'kept', cast(array() as array<{kind}>)),
-        (s, r) -> if(s.total + r.`{size}` <= {float(budget)}, named_struct('total', s.total + r.`{size}`, 'kept', concat(s.kept, array(r))), s), s -> s.kept)"""
-    return rows.select(*group, F.explode(F.expr(step)).alias("r")).select(*group, "r.*").select(*df.columns)
+
+    def run(key, table):
+        table = table.sort_by([(c, "ascending") for c in order])
+        rows, values = fold({c: table[c].to_pylist() for c in table.column_names})
+        out = table.take(pa.array(rows, pa.int64()))
+        for f in added.fields:
+            out = out.append_column(f.name, pa.array(values[f.name], to_arrow_type(f.dataType)))
+        return out
+
+    return df.groupBy(*group).applyInArrow(run, T.StructType([*df.schema.fields, *added.fields]))
+
+
+def greedy_budget(df: DataFrame, group: list[str], order: list[str], size: str, budget: float) -> DataFrame:
+    """Rows that fit, taken in order, skipping those that don't. Null sizes don't fit."""
+
+    def fold(c: dict) -> tuple[list[int], dict]:
+        total, kept = 0.0, []
+        for i, s in enumerate(c[size]):
+            if s is not None and total + s <= budget:
+                total += s
+                kept.append(i)
+        return kept, {}
+
+    return _folded(df, group, order, fold, T.StructType())
 
 
 def capped_fold(df: DataFrame, group: list[str], order: list[str], size: str, images: str, max_opened: int, max_images: int, empty_streak: int, max_size: float, budget: float, out: str = "fetched") -> DataFrame:
-    """Mark which nested archives a record fetches, in order: too large ones and those over the budget are skipped; it
-    stops after ``max_opened``, once it has ``max_images``, or after ``empty_streak`` archives without images in a row."""
-    rest = [c for c in df.columns if c not in group]
-    rows = df.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(*order, *[c for c in rest if c not in order]))).alias("rows"))
-    start = "named_struct('opened', 0, 'images', 0L, 'streak', 0, 'bytes', cast(0 as double), 'flags', cast(array() as array<boolean>))"
-    take = f"(s.opened < {max_opened} and s.images < {max_images} and s.streak < {empty_streak} and r.`{size}` <= {float(max_size)} and s.bytes + r.`{size}` <= {float(budget)})"
-    step = f"""(s, r) -> if({take}, named_struct('opened', s.opened + 1, 'images', s.images + cast(r.`{images}` as bigint),
-        'streak', if(r.`{images}` > 0, 0, s.streak + 1), 'bytes', s.bytes + r.`{size}`, 'flags', concat(s.flags, array(true))),
-        named_struct('opened', s.opened, 'images', s.images, 'streak', s.streak, 'bytes', s.bytes, 'flags', concat(s.flags, array(false))))"""
-    flags = f"aggregate(rows, {start}, {step}, s -> s.flags)"
-    pairs = rows.select(*group, F.explode(F.arrays_zip(F.col("rows"), F.expr(flags).alias("flags"))).alias("p"))
-    zipped = [f.name for f in pairs.schema["p"].dataType.fields]
-    return pairs.select(*group, F.col("p")[zipped[0]].alias("r"), F.col("p")[zipped[1]].alias(out)).select(*group, "r.*", out).select(*df.columns, out)
+    """Mark which nested archives a record fetches, in order, with ``reason`` for those it doesn't: ``size`` and ``budget`` skip
+    one archive; ``opened``, ``images`` and ``empty`` end the loop: after ``max_opened``, once it has ``max_images``, or after
+    ``empty_streak`` archives without images in a row. Null sizes are skipped."""
+
+    def fold(c: dict) -> tuple[list[int], dict]:
+        opened, seen, streak, total = 0, 0, 0, 0.0
+        flags, why = [], []
+        for s, n in zip(c[size], c[images], strict=True):
+            stop = "opened" if opened >= max_opened else "images" if seen >= max_images else "empty" if streak >= empty_streak else None
+            stop = stop or ("size" if s is None or s > max_size else "budget" if total + s > budget else None)
+            flags.append(stop is None)
+            why.append(stop)
+            if stop is None:
+                opened, seen, total = opened + 1, seen + (n or 0), total + s
+                streak = 0 if n else streak + 1
+        return list(range(len(flags))), {out: flags, "reason": why}
+
+    return _folded(df, group, order, fold, T.StructType([T.StructField(out, T.BooleanType()), T.StructField("reason", T.StringType())]))
 
 
 def entry_cap(df: DataFrame, group: list[str], order: list[str], cap: int) -> DataFrame:

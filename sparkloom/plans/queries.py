@@ -132,11 +132,11 @@ def q_crashed_rows(t: Tables) -> DataFrame:
     return M.crashed(t.events.select("user_id", "ts", "event_id", "event_type"), "user_id", ["ts", "event_id"], "event_type", "click").select("user_id", "event_id", "event_type")
 
 
-@query("""WITH b AS (SELECT event_type AS status, count(*) AS n FROM events WHERE event_id % 2 = 0 GROUP BY 1), a AS (SELECT event_type AS status, count(*) AS n FROM events WHERE event_id % 5 <> 0 GROUP BY 1)
+@query("""WITH b AS (SELECT event_type AS status, count(*) AS n FROM events GROUP BY 1), a AS (SELECT CASE WHEN event_type = 'error' THEN 'retried' ELSE event_type END AS status, count(*) AS n FROM events GROUP BY 1)
 SELECT coalesce(b.status, a.status) AS status, coalesce(b.n, 0) AS before, coalesce(a.n, 0) AS after FROM b FULL JOIN a ON a.status = b.status""")
 def q_log_rerun(t: Tables) -> DataFrame:
     e = t.events.withColumnRenamed("event_type", "status")
-    return M.merge_counts(e.where("event_id % 2 = 0"), e.where("event_id % 5 <> 0"), "status")
+    return M.merge_counts(e, e.withColumn("status", F.when(F.col("status") == "error", "retried").otherwise(F.col("status"))), "status")
 
 
 @query("""WITH n AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 4 = 0), l AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 4 <> 0)
@@ -203,10 +203,17 @@ def q_greedy_budget(t: Tables) -> DataFrame:
     return S.greedy_budget(rows, ["o_custkey"], ["first", "o_orderkey"], "price", 400_000).select("o_custkey", "o_orderkey")
 
 
-@query()
+@query("""WITH RECURSIVE o AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity AS q, l_linenumber % 3 AS n, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS i FROM lineitem),
+s(l_orderkey, i, l_linenumber, l_partkey, opened, images, streak, total, reason) AS (
+  SELECT l_orderkey, 0, 0, 0::BIGINT, 0, 0, 0, 0::DOUBLE, '' FROM o WHERE i = 1
+  UNION ALL SELECT l_orderkey, i, l_linenumber, l_partkey, opened + ok, images + ok * n, CASE WHEN ok = 0 THEN streak WHEN n > 0 THEN 0 ELSE streak + 1 END, total + ok * q, reason FROM (
+    SELECT *, CASE WHEN reason IS NULL THEN 1 ELSE 0 END AS ok FROM (SELECT o.*, s.opened, s.images, s.streak, s.total,
+      CASE WHEN opened >= 4 THEN 'opened' WHEN images >= 3 THEN 'images' WHEN streak >= 2 THEN 'empty' WHEN q > 45 THEN 'size' WHEN total + q > 120 THEN 'budget' END AS reason FROM s JOIN o ON o.l_orderkey = s.l_orderkey AND o.i = s.i + 1)))
+SELECT l_orderkey, l_linenumber, l_partkey, reason IS NULL AS fetched, reason FROM s WHERE i > 0""")
 def q_nested_fetch(t: Tables) -> DataFrame:
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", (F.col("l_linenumber") % 3).alias("images"))
-    return S.capped_fold(rows, ["l_orderkey"], ["l_linenumber"], "l_quantity", "images", 4, 3, 2, 45, 120)
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", (F.col("l_linenumber") % 3).alias("images"))
+    out = S.capped_fold(rows, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "l_quantity", "images", 4, 3, 2, 45, 120)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "fetched", "reason")
 
 
 @query("""SELECT l_orderkey, l_linenumber, n_total, greatest(n_total - 3, 0) AS n_over FROM (SELECT l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_orderkey) AS n_total, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem) WHERE rn <= 3""")
@@ -267,20 +274,20 @@ def q_status_cascade(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", status.alias("status")).select("o_orderkey", F.concat("status", F.when(partial, "_partial_download").otherwise("")).alias("status"))
 
 
-@query("""WITH v AS (SELECT vec_id, list_transform(embedding[1:7], lambda x: exp(x::DOUBLE - list_max(embedding[1:7])::DOUBLE)) AS e FROM embeddings), p AS (SELECT vec_id, list_transform(e, lambda x: x / list_sum(e)) AS p FROM v)
-SELECT vec_id, (['CFP', 'IR', 'PSC', 'FAF', 'OCT', 'OCTA', 'NEG'])[list_position(p, list_max(p))] AS top, round(list_max(p), 6) AS p, CASE WHEN list_max(p) >= 0.2 THEN (['CFP', 'IR', 'PSC', 'FAF', 'OCT', 'OCTA', 'NEG'])[list_position(p, list_max(p))] ELSE 'UNCERTAIN' END AS label FROM p""")
+@query("""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: exp(x::DOUBLE - list_max(embedding)::DOUBLE)) AS e FROM embeddings), p AS (SELECT vec_id, list_transform(e, lambda x: x / list_sum(e)) AS p FROM v)
+SELECT vec_id, 'c' || list_position(p, list_max(p)) AS top, round(list_max(p), 6) AS p, CASE WHEN list_max(p) >= 0.018 THEN 'c' || list_position(p, list_max(p)) ELSE 'UNCERTAIN' END AS label FROM p""")
 def q_threshold_argmax(t: Tables) -> DataFrame:
-    logits = F.transform(F.slice("embedding", 1, 7), lambda x: x.cast("double"))
+    logits = F.transform("embedding", lambda x: x.cast("double"))
     probs = t.embeddings.select("vec_id", C.softmax(logits).alias("probs"))
-    top, p, label = C.thresholded(F.col("probs"), C.CLASSES, 0.2)
+    top, p, label = C.thresholded(F.col("probs"), [f"c{i + 1}" for i in range(64)], 0.018)
     return probs.select("vec_id", top.alias("top"), r6(p).alias("p"), label.alias("label"))
 
 
-@query("SELECT label, " + ", ".join(f"round(sum((vec_id % 5 + 1) * embedding[{i + 1}]::DOUBLE) / sum(vec_id % 5 + 1), 6) AS mean_{i}" for i in range(7)) + " FROM embeddings GROUP BY label")
+@query("SELECT label, " + ", ".join(f"round(sum((vec_id % 5 + 1) * embedding[{i + 1}]::DOUBLE) / sum(vec_id % 5 + 1), 6) AS mean_{i}" for i in range(64)) + " FROM embeddings GROUP BY label")
 def q_mean_vector(t: Tables) -> DataFrame:
     rows = t.embeddings.select("label", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"), (F.col("vec_id") % 5 + 1).alias("w"))
-    m = C.mean_vector(rows, ["label"], "embedding", 7, "w")
-    return m.select("label", *[r6(f"mean_{i}").alias(f"mean_{i}") for i in range(7)])
+    m = C.mean_vector(rows, ["label"], "embedding", 64, "w")
+    return m.select("label", *[r6(f"mean_{i}").alias(f"mean_{i}") for i in range(64)])
 
 
 # ---- names ----
@@ -408,12 +415,23 @@ def q_strip_html(t: Tables) -> DataFrame:
     return plain.select("page_id", F.length("plain").cast("long").alias("n"), F.md5(F.col("plain").cast("binary")).alias("digest"))
 
 
-_EYE_SQL = "p_name || ' retina OCT ' || p_type || (CASE WHEN p_partkey % 3 = 0 THEN ' Fundus AMD fundus eyes' ELSE '' END)"
+_TERMS = ["Retinal fundus", "OCT", "octopus", "Glaucoma eyes", "AMD and DME", "the OCTA of eyes", "corneal", "optic disc", "a b c", "faf FAF"]
 
 
-@query(f"""WITH x AS (SELECT p_partkey, {_EYE_SQL} AS s FROM part) SELECT p_partkey, array_to_string(list_distinct_ordered, '; ') AS terms FROM (SELECT p_partkey, list_concat(['retina'], CASE WHEN p_partkey % 3 = 0 THEN ['fundus', 'eyes'] ELSE [] END, ['OCT'], CASE WHEN p_partkey % 3 = 0 THEN ['AMD'] ELSE [] END) AS list_distinct_ordered FROM x)""")
+def _terms_sql() -> str:
+    """Words in lower case in order of place, then acronyms, each once."""
+    words, acronyms = (x.replace("(?U)", "").replace("(?i)", "") for x in (X.EYE_WORDS, X.EYE_ACRONYMS))
+    both = f"list_concat(list_transform(regexp_extract_all(s, '(?i){words}', 1), lambda x: lower(x)), regexp_extract_all(s, '{acronyms}', 1))"
+    return f"list_filter({both}, lambda x, i: list_position({both}, x) = i)"
+
+
+_EYE_SQL = "p_name || ' ' || (" + "[" + ", ".join(f"'{x}'" for x in _TERMS) + "])[(p_partkey % 10)::INT + 1] || ' ' || p_type || ' ' || ([" + ", ".join(f"'{x}'" for x in _TERMS) + "])[(p_partkey // 10 % 10)::INT + 1]"
+
+
+@query(f"""WITH x AS (SELECT p_partkey, {_EYE_SQL} AS s FROM part) SELECT p_partkey, array_to_string({_terms_sql()}, '; ') AS terms FROM x""")
 def q_keywords(t: Tables) -> DataFrame:
-    s = F.concat("p_name", F.lit(" retina OCT "), "p_type", F.when(F.col("p_partkey") % 3 == 0, " Fundus AMD fundus eyes").otherwise(""))
+    at = lambda k: F.element_at(F.array(*map(F.lit, _TERMS)), (k % 10).cast("int") + 1)
+    s = F.concat_ws(" ", "p_name", at(F.col("p_partkey")), "p_type", at(F.expr("p_partkey div 10")))
     return t.part.select("p_partkey", F.array_join(X.keyword_terms(s), "; ").alias("terms"))
 
 
@@ -428,13 +446,26 @@ def q_license_use(t: Tables) -> DataFrame:
     return t.supplier.select("s_suppkey", X.license_use(F.array(at(9), at(4))).alias("use"))
 
 
-_PATHS = ["set/OD/img_01.png", "12_L.png", "L.png", "scan_L1_R2.png", "pt_left_OS.jpg", "a_R_b_L.jpg", "zip.zip!/both_eyes/x.png", "re/x.png"]
-_SIDE = [("R", "dirname", "false"), ("L", "basename", "false"), ("U", "none", "false"), ("U", "none", "false"), ("L", "basename", "false"), ("U", "basename", "true"), ("B", "dirname", "false"), ("U", "none", "false")]
+_FOLDERS = ["set/OD", "left_eyes", "zip.zip!/both_eyes", "re", "OD_OS", "plain", "R 1/x", "bilateral/OS"]
+_FILE_NAMES = ["img_01", "12_L", "L", "scan_L1_R2", "pt_left_OS", "a_R_b_L", "x", "re", "ou-3", "Right.eye_1", "le"]
+
+
+def _laterality_sql() -> str:
+    """The sides of the name and of its folders from the nearest, the first that has any."""
+    sides = "CASE t " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in X.SIDES.items()) + " END"
+    return f"""p AS (SELECT p_partkey, ([{', '.join(f"'{x}'" for x in _FOLDERS)}])[(p_partkey % 8)::INT + 1] || '/' || ([{', '.join(f"'{x}'" for x in _FILE_NAMES)}])[(p_partkey // 8 % 11)::INT + 1] || '.png' AS path FROM part),
+c AS (SELECT p_partkey, list_reverse(list_filter(string_split_regex(path, '!/|/'), lambda x: x <> '')) AS parts FROM p),
+k AS (SELECT p_partkey, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM c),
+w AS (SELECT p_partkey, i, list_filter(string_split_regex(lower(CASE WHEN i = 1 THEN regexp_replace(part, '\.[^.]*$', '') ELSE part END), '[^a-z0-9]+'), lambda x: x <> '') AS tokens FROM k),
+u AS (SELECT p_partkey, i, len(tokens) AS n, unnest(tokens) AS t FROM w),
+s AS (SELECT p_partkey, i, {sides} AS side FROM u WHERE {sides} IS NOT NULL AND NOT (t IN ('r', 'l') AND n < 2) AND (t NOT IN ('re', 'le') OR i = 1)),
+f AS (SELECT p_partkey, i, list(DISTINCT side) FILTER (side <> 'B') AS one FROM s GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY i) = 1)"""
 
 
-@query("SELECT p_partkey, r[1] AS side, r[2] AS source, r[3] = 'true' AS conflict FROM (SELECT p_partkey, ([" + ", ".join(f"['{a}', '{b}', '{c}']" for a, b, c in _SIDE) + "])[(p_partkey % 8)::INT + 1] AS r FROM part)")
+@query(f"""WITH {_laterality_sql()} SELECT p.p_partkey, CASE WHEN f.i IS NULL OR len(one) > 1 THEN 'U' ELSE coalesce(one[1], 'B') END AS side, CASE WHEN f.i IS NULL THEN 'none' WHEN f.i = 1 THEN 'basename' ELSE 'dirname' END AS source, coalesce(len(one) > 1, false) AS conflict FROM p LEFT JOIN f ON f.p_partkey = p.p_partkey""")
 def q_laterality(t: Tables) -> DataFrame:
-    path = F.element_at(F.array(*map(F.lit, _PATHS)), (F.col("p_partkey") % 8).cast("int") + 1)
+    at = lambda values, k: F.element_at(F.array(*map(F.lit, values)), (k % len(values)).cast("int") + 1)
+    path = F.concat(at(_FOLDERS, F.col("p_partkey")), F.lit("/"), at(_FILE_NAMES, F.expr("p_partkey div 8")), F.lit(".png"))
     return t.part.select("p_partkey", X.laterality(path).alias("x")).select("p_partkey", "x.*")
 
 
@@ -522,10 +553,10 @@ def q_provenance(t: Tables) -> DataFrame:
     return A.provenance(o, "o_orderkey", {"status": "o_orderpriority", "price": "o_orderstatus"})
 
 
-@query("""WITH s AS (SELECT c_custkey AS id, c_custkey AS pos, lower(CASE WHEN c_custkey % 5 = 0 THEN 'Restricted' ELSE 'open' END) AS a FROM customer WHERE c_custkey % 2 = 0), r AS (SELECT o_custkey AS id, min(o_orderkey) AS pos, max(o_orderstatus) AS st FROM orders GROUP BY 1)
+@query("""WITH s AS (SELECT c_custkey AS id, c_custkey AS pos, lower(CASE WHEN c_custkey % 5 = 0 THEN 'Restricted' ELSE 'open' END) AS a FROM customer), r AS (SELECT o_custkey AS id, min(o_orderkey) AS pos, max(o_orderstatus) AS st FROM orders GROUP BY 1)
 SELECT coalesce(s.id, r.id) AS id, s.pos AS scrape_pos, r.pos AS row_pos FROM s FULL JOIN r ON s.id = r.id WHERE a = 'restricted' OR st = 'F'""")
 def q_access_targets(t: Tables) -> DataFrame:
-    s = t.customer.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("pos"), F.when(F.col("c_custkey") % 5 == 0, "Restricted").otherwise("open").alias("access"))
+    s = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("pos"), F.when(F.col("c_custkey") % 5 == 0, "Restricted").otherwise("open").alias("access"))
     r = t.orders.groupBy(F.col("o_custkey").alias("id")).agg(F.min("o_orderkey").alias("pos"), F.max("o_orderstatus").alias("status")).withColumn("right", F.lit(None).cast("string"))
     return J.select_targets(s, r, "id", "pos", "access", "status", "right", ("restricted", "embargoed", "closed"), ("F",))
 
@@ -536,30 +567,6 @@ def q_access_rank(t: Tables) -> DataFrame:
     return C.numbered(rows, ["s_nationkey"], [F.col("p").desc_nulls_last(), F.col("s_suppkey").cast("string").try_cast("bigint"), "s_suppkey"]).select("s_suppkey", "s_nationkey", F.col("rank").cast("long").alias("rank"))
 
 
-@query("""WITH p AS (SELECT source, list_sort(list(DISTINCT CASE lang WHEN 'en' THEN 'OCTA' WHEN 'fr' THEN 'PSC' ELSE 'CFP' END)) AS present, count(*) FILTER (lang = 'en')::DOUBLE / count(*) AS eye FROM documents WHERE doc_id % 97 < 3 GROUP BY 1)
-SELECT source, CASE WHEN len(list_filter(present, lambda c: c NOT IN ('OCTA', 'PSC'))) = 0 AND eye < 0.5 THEN 'only ' || array_to_string(present, ' + ') ELSE '' END AS review FROM p""")
-def q_review_fp(t: Tables) -> DataFrame:
-    cls = F.when(F.col("lang") == "en", "OCTA").when(F.col("lang") == "fr", "PSC").otherwise("CFP")
-    p = t.documents.where("doc_id % 97 < 3").groupBy("source").agg(F.array_sort(F.collect_set(cls)).alias("present"), (F.count_if(F.col("lang") == "en") / F.count("*")).alias("eye"))
-    only = F.size(F.array_except("present", F.array(F.lit("OCTA"), F.lit("PSC")))) == 0
-    return p.select("source", F.when(only & (F.col("eye") < 0.5), F.concat(F.lit("only "), F.array_join("present", " + "))).otherwise("").alias("review"))
-
-
-@query("""SELECT c_custkey, concat_ws('; ', CASE WHEN c_acctbal < 0 THEN 'setfit_not_eye' END, CASE WHEN c_acctbal >= 9000 THEN 'mask_like' END, CASE WHEN c_mktsegment = 'BUILDING' THEN 'low_confidence' END) AS flags, c_acctbal < 0 OR c_acctbal >= 9000 AS low_trust FROM customer""")
-def q_review_flags(t: Tables) -> DataFrame:
-    strong = (F.col("c_acctbal") < 0) | (F.col("c_acctbal") >= 9000)
-    flags = F.array_compact(F.array(F.when(F.col("c_acctbal") < 0, "setfit_not_eye"), F.when(F.col("c_acctbal") >= 9000, "mask_like"), F.when(F.col("c_mktsegment") == "BUILDING", "low_confidence")))
-    return t.customer.select("c_custkey", F.array_join(flags, "; ").alias("flags"), strong.alias("low_trust"))
-
-
-@query("""WITH e AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'Topcon' END AS strong, CASE WHEN s_suppkey % 2 = 0 THEN 'Heidelberg Spectralis' END AS weak FROM supplier)
-SELECT s_suppkey, CASE WHEN strong IS NULL AND weak IS NULL THEN 'no manufacturer hint found' ELSE concat_ws('; ', strong, weak) END AS hint, CASE WHEN strong IS NULL AND weak IS NULL THEN false ELSE NOT regexp_matches(coalesce(strong, weak), '(?i)heidelberg|spectralis') END AS candidate FROM e""")
-def q_ir_rule(t: Tables) -> DataFrame:
-    e = t.supplier.select("s_suppkey", F.when(F.col("s_suppkey") % 3 == 0, "Topcon").alias("strong"), F.when(F.col("s_suppkey") % 2 == 0, "Heidelberg Spectralis").alias("weak"))
-    none = F.col("strong").isNull() & F.col("weak").isNull()
-    return e.select("s_suppkey", F.when(none, "no manufacturer hint found").otherwise(F.concat_ws("; ", "strong", "weak")).alias("hint"), F.when(none, False).otherwise(~F.coalesce("strong", "weak").rlike("(?i)heidelberg|spectralis")).alias("candidate"))
-
-
 # ---- states ----
 
 

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from sparkloom.plans import queries as Q
+from sparkloom.plans import records  # noqa: F401  registers its queries
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
