@@ -71,14 +71,17 @@ FROM documents d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GRO
 """
 
 
+#: Levels of the tree that the SQL of op6 spells out; what lies deeper is taken as it is.
+LEVELS = 6
+
+
 def _op6() -> str:
     """The templates level by level, as ``url_filter.templates`` makes them."""
-    from .url_filter import DEPTH, PRIOR, REJECT, THIN, VARIABLE, WIDE, Z
+    from .url_filter import PRIOR, REJECT, THIN, VARIABLE, WIDE, Z
 
     form = "CASE " + " ".join(f"WHEN regexp_matches(SEGMENT, '{p}') THEN '{w}'" for p, w in VARIABLE) + " ELSE SEGMENT END"
-    levels = [f"l{i}" for i in range(DEPTH)]
-    seg = [form.replace("SEGMENT", f"coalesce(p[{i + 1}], '')") for i in range(DEPTH)]
-    seg[-1] = f"CASE WHEN len(p) > {DEPTH} THEN '**' ELSE {seg[-1]} END"
+    levels = [f"l{i}" for i in range(LEVELS)]
+    seg = [form.replace("SEGMENT", f"coalesce(p[{i + 1}], '')") for i in range(LEVELS)]
     keys = ", ".join(levels)
     rules = "CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1' WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/' WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/' WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/' WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END"
     parts = [
@@ -98,8 +101,8 @@ def _op6() -> str:
             f"t{i + 1} AS (SELECT t.host, {', '.join('t.' + k for k in levels)}, m.next AS template, t.n, t.lab, t.bad FROM t{i} t JOIN m{i} m ON m.host = t.host AND m.template = t.template AND m.{name} = t.{name})",
         ]
     parts += [
-        f"e AS (SELECT host, template, (sum(bad) + {PRIOR} * coalesce((SELECT sum(bad)::DOUBLE / nullif(sum(lab), 0) FROM t0), 0)) / (sum(lab) + {PRIOR}) AS share FROM t{DEPTH} GROUP BY 1, 2)",
-        f"v AS (SELECT t.host, {', '.join('t.' + k for k in levels)}, CASE WHEN share >= {REJECT} THEN 'block' ELSE 'allow' END AS method FROM t{DEPTH} t JOIN e ON e.host = t.host AND e.template = t.template)",
+        f"e AS (SELECT host, template, (sum(bad) + {PRIOR} * coalesce((SELECT sum(bad)::DOUBLE / nullif(sum(lab), 0) FROM t0), 0)) / (sum(lab) + {PRIOR}) AS share FROM t{LEVELS} GROUP BY 1, 2)",
+        f"v AS (SELECT t.host, {', '.join('t.' + k for k in levels)}, CASE WHEN share >= {REJECT} THEN 'block' ELSE 'allow' END AS method FROM t{LEVELS} t JOIN e ON e.host = t.host AND e.template = t.template)",
     ]
     said = "CASE rule WHEN 'org/' THEN 'allow' WHEN 'com/fr/' THEN 'allow' WHEN 'example.org/es/' THEN 'block' WHEN 'example.org/en/1' THEN 'block' WHEN 'com/de/' THEN 'block' ELSE method END"
     on = " AND ".join(f"v.{k} = b.{k}" for k in ["host", *levels])
