@@ -30,7 +30,20 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends, and lost executors lose nothing."""
-    return Table(df, name).df
+    TABLES.append(Table(df, name))
+    return TABLES[-1].df
+
+
+#: Tables of ``written`` that results may still be read from, in the order they were written.
+TABLES: list[Table] = []
+
+
+def drop_written(since: int, but: Table | None = None) -> None:
+    """Drop the tables that were written after the first ``since``, once nothing is read from them any more."""
+    for t in TABLES[since:]:
+        if t is not but:
+            t.drop()
+    del TABLES[since:]
 
 
 class Table:
@@ -131,18 +144,22 @@ def in_filter(bits: np.ndarray, i: int) -> bool:
     return bool(int(bits[(i & (64 * len(bits) - 1)) // 64]) >> (i & 63) & 1)
 
 
-def filtered(rows: DataFrame, column: str, shared, inside: bool) -> DataFrame:
-    """The rows whose ``column`` is in a broadcast filter, or those that aren't; null isn't."""
+def in_filter_rows(batch: pa.RecordBatch, at: int, bits: np.ndarray, inside: bool) -> pa.RecordBatch:
+    """The rows of a batch whose column ``at`` is in the filter, or those that aren't; null isn't."""
+    ids = batch.column(at).cast(pa.int64())
+    known = ids.is_valid().to_numpy(zero_copy_only=False)
+    i = ids.fill_null(0).to_numpy()
+    hit = known & ((bits[(i & (64 * len(bits) - 1)) // 64] >> (i & 63)) & 1).astype(bool)
+    return batch.filter(pa.array(hit == inside))
+
+
+def filtered(rows: DataFrame, column: str, shared) -> DataFrame:
+    """The rows whose ``column`` is in a broadcast filter."""
     at = rows.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         for batch in batches:
-            ids = batch.column(at).cast(pa.int64())
-            known = ids.is_valid().to_numpy(zero_copy_only=False)
-            i = ids.fill_null(0).to_numpy()
-            hit = known & ((bits[(i & (64 * len(bits) - 1)) // 64] >> (i & 63)) & 1).astype(bool)
-            yield batch.filter(pa.array(hit == inside))
+            yield in_filter_rows(batch, at, shared.value, True)
 
     return rows.mapInArrow(run, rows.schema)
 
@@ -227,7 +244,7 @@ def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
 
 
 #: Bytes of the texts whose words are found at once, longer texts excepted.
-PIECE = 1 << 21
+PIECE = 1 << 19
 
 
 def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

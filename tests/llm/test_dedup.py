@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sparkloom.llm import common, decontaminate, embedding_dedup, jaccard_join, substring_dedup
 
@@ -361,28 +362,71 @@ def test_chunks_resist_shifts():
     assert len(one & two) >= len(one) - 2
 
 
+def brute_matches(docs, items):
+    """(doc_id, item_id) -> fewest edits and where such a stretch first ends, of the matches within a fifth of the item's words."""
+    out = {}
+    words = {i: common.text_words(t) for i, t in docs.items()}
+    for k, text in items.items():
+        item = common.text_words(text)
+        for i, w in words.items():
+            if len(item) and len(w):
+                edits, end = decontaminate.best_match(item, w)
+                if edits <= len(item) // 5:
+                    out[i, k] = (edits, end)
+    return out
+
+
+def test_decontamination_query_against_brute_force(spark, sf):
+    """The query's rows, on its table with copies of items at and beyond the limit added."""
+    from sparkloom.llm.queries import op8_decontamination
+
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    got = {(r["doc_id"], r["item_id"]): (r["edits"], r["end_word"]) for r in op8_decontamination(spark, sf).collect()}
+    assert got == brute_matches(docs, items) and got
+    rng = random.Random(21)
+    more = {}
+    for d in range(150):
+        k = rng.choice(sorted(items))
+        w = items[k].split()
+        for _ in range(len(w) // 5 + rng.choice([-1, 0, 0, 1])):
+            at = rng.randrange(len(w))
+            w[at : at + 1] = rng.choice([[], ["other"], ["new", w[at]]])
+        more[d] = " ".join(docs[rng.choice(sorted(docs))].split()[:60] + w + docs[rng.choice(sorted(docs))].split()[:60])
+    rows = decontaminate.contaminated(spark.createDataFrame(list(more.items()), "doc_id long, text string"), spark.read.parquet(f"{sf}/benchmark.parquet")).collect()
+    want = brute_matches(more, items)
+    found = {(r["doc_id"], r["item_id"]): r["edits"] for r in rows}
+    assert set(found) == set(want) and all(found[x] == want[x][0] for x in want)
+
+
 def test_pipeline(spark, sf):
+    """Each stage against brute force, on rows with odd values and with columns named like those that the operators add."""
     import corpus_pipeline as P
 
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    odd = spark.createDataFrame([(10**6, None, None, None, None), (10**6 + 1, "1 2 3", "en", "s", 5)], docs.schema)
-    at = docs.unionByName(odd)
-    kept = {"": {r["doc_id"] for r in at.select("doc_id").collect()}}
-    last = ""
-    for name, stage in P.STAGES[:-1]:
+    plain = spark.read.parquet(f"{sf}/documents.parquet")
+    odd = spark.createDataFrame([(10**6, None, None, None, None), (10**6 + 1, "1 2 3", "en", "s", 5), (None, "words of no document", None, "s", 1)], plain.schema)
+    clash = ["score", "n_words", "Removed", "removed_words", "lang_pred", "component_id"]
+    docs = plain.unionByName(odd)
+    docs = docs.select("*", *[F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in clash])
+    at, tables = docs, []
+    for _, stage in P.STAGES[:-1]:
         at = common.written(stage(spark, at, sf), "test")
-        assert at.columns == docs.columns
-        kept[name] = {r["doc_id"] for r in at.select("doc_id").collect()}
-        assert kept[name] <= kept[last]
-        last = name
-    assert kept[""] - kept["language_id"] == {10**6, 10**6 + 1}
-    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    want = brute_jaccard({i: texts[i] for i in kept["language_id"]})
-    assert kept["jaccard_join"] == {i for i, (_, c) in want.items() if c == i}
-    bench = [r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
-    now = {r["doc_id"]: r for r in at.collect()}
-    assert all(b not in r["text"] for b in bench for r in now.values())
-    assert all(r["n_chars"] == len(r["text"]) for r in now.values() if r["text"] != texts[r["doc_id"]])
+        assert at.schema.names == docs.schema.names and at.dtypes == docs.dtypes
+        tables.append({r["doc_id"]: r for r in at.collect()})
+        assert all(r[c] == f"{c} of {'none' if i is None else i}" for i, r in tables[-1].items() for c in clash)
+    start = {r["doc_id"]: r["text"] for r in docs.collect()}
+    language, jaccard, substring, clean = ({i: r["text"] for i, r in t.items()} for t in tables)
+    assert language == {i: t for i, t in start.items() if t and any(c.isalpha() for c in t)}
+    want = brute_jaccard({i: t for i, t in language.items() if i is not None})
+    assert jaccard == {i: t for i, t in language.items() if i is None or want[i][1] == i}
+    cut = brute_substrings(list(jaccard.items()))
+    left = {i: [x for x, gone in zip(*cut[i, t], strict=True) if not gone] for i, t in jaccard.items() if i is not None}
+    assert {i: units(t) for i, t in substring.items() if i is not None} == {i: w for i, w in left.items() if w} and substring[None] == jaccard[None]
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    dirty = {i for i, _ in brute_matches({i: t for i, t in substring.items() if i is not None}, items)}
+    assert clean == {i: t for i, t in substring.items() if i not in dirty}
+    assert all(r["n_chars"] == len(r["text"]) for r in tables[-1].values() if r["text"] != start[r["doc_id"]])
     out = P.STAGES[-1][1](spark, at, sf).collect()
-    assert {r["doc_id"] for r in out} == kept["decontamination"]
-    assert sorted(r["ids_sha256"] for r in P.run(spark, sf).collect()) == sorted(r["ids_sha256"] for r in out)
+    assert {r["doc_id"] for r in out} == set(clean)
+    whole = P.run(spark, sf).collect()
+    assert sorted(r["ids_sha256"] for r in whole) == sorted(r["ids_sha256"] for r in out if r["doc_id"] is not None)

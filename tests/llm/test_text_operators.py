@@ -141,6 +141,17 @@ def test_url_templates(spark):
     assert url_filter.judge(empty, RULES).count() == 0
 
 
+def test_url_templates_of_deep_paths(spark):
+    """The tree tells branches apart at any depth."""
+    deep = "/a/b/c/d/e/f/g/h/i"
+    pages = [(i, f"http://h.net{deep}/spam/{i}") for i in range(20)] + [(100 + i, f"http://h.net{deep}/clean/{i}") for i in range(20)] + [(200, f"http://h.net{deep}"), (201, "http://other.net/x/y/z/1/2/3/4/5/6/7/8")]
+    labels = [(i, 1) for i in range(20)] + [(100 + i, 0) for i in range(20)]
+    rows = url_filter.judge(spark.createDataFrame(pages, "page_id long, url string"), RULES, spark.createDataFrame(labels, "page_id long, bad int")).collect()
+    by = {r["page_id"]: r for r in rows}
+    assert len(rows) == len(pages) and by[3]["verdict"] == "block" and by[103]["verdict"] == "allow"
+    assert by[3]["template"] == f"{deep}/spam/{{n}}"
+
+
 def test_warc_round_trip(spark):
     big = "<html>" + "x" * 200
     rows = [(3, "http://a/\r\nb", big), (1, "http://a/", big), (2, None, "short"), (5, "u", "short"), (4, "v", None), (6, "w", ""), (None, "n", big), (1, "http://a/", big)] + [(10 + i, f"http://h/{i}", f"<p>page {i}</p>" * 40) for i in range(40)]
