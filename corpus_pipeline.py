@@ -6,11 +6,14 @@ the documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkloom.llm import common
 from sparkloom.llm.bpe import encode_documents
-from sparkloom.llm.common import read_table, written
+from sparkloom.llm.common import Table, read_table
 from sparkloom.llm.decontaminate import without_contaminated
 from sparkloom.llm.jaccard_join import jaccard_components
 from sparkloom.llm.language_id import identify
@@ -22,9 +25,17 @@ def _columns(df: DataFrame, docs: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def _beside(docs: DataFrame, added: tuple[str, ...], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``stage(docs)`` with the columns of ``docs``: those that are named like what the operator adds are put aside and keep
+    their values."""
+    aside = {c: f"__aside_{i}" for i, c in enumerate(docs.columns) if c.lower() in added}
+    out = stage(docs.withColumnsRenamed(aside))
+    return out.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told (null text, no letter) go."""
-    return _columns(identify(docs).where("lang_pred <> 'und'"), docs)
+    return _beside(docs, ("lang_pred", "score"), lambda d: identify(d).where("lang_pred <> 'und'"))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +46,15 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut out; documents of which nothing is left go. n_chars follows the text."""
-    out = dedup_substrings(docs).where("removed_words < n_words or n_words = 0 or n_words is null")
-    if "n_chars" in docs.columns:
-        changed = F.when(F.col("removed_words") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
-        out = out.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
-    return _columns(out, docs)
+
+    def stage(d: DataFrame) -> DataFrame:
+        out = dedup_substrings(d).where("removed_words < n_words or n_words = 0 or n_words is null")
+        if "n_chars" in d.columns:
+            changed = F.when(F.col("removed_words") > 0, F.length("text").cast(d.schema["n_chars"].dataType))
+            out = out.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
+        return out
+
+    return _beside(docs, ("n_words", "removed_words", "removed"), stage)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +80,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents of ``sf_dir``; between stages the rows are written and read again."""
-    docs = read_table(spark, sf_dir, "documents")
+    """Apply all stages to the documents of ``sf_dir``; between stages the rows are written and read again, and what a stage
+    has written for itself is dropped."""
+    docs, last = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before = len(common.TABLES)
+        kept = Table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        common.drop_written(before)
+        if last:
+            last.drop()
+        docs, last = kept.df, kept
     return STAGES[-1][1](spark, docs, sf_dir)
