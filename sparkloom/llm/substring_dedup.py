@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import _IS_SPACE, _LOWER, _POWERS, Table, mix, partitions, word_hashes, written
+from .common import _IS_SPACE, _LOWER, _POWERS, PIECE, Table, filtered, id_filter, in_filter_rows, mix, partitions, word_hashes, written
 
 #: Words of the shortest passage that is cut out.
 MIN_WORDS = 50
@@ -26,8 +26,8 @@ MIN_WORDS = 50
 LOOK_BACK, WINDOW = 8, 16
 #: Entries of the digest index that one task holds, about.
 BUCKET = 1 << 20
-#: Bytes of the texts that a worker handles at once, longer texts excepted; entries that it holds before it sends them.
-PIECE, HELD = 1 << 21, 1_000_000
+#: Entries that a worker holds before it sends them.
+HELD = 300_000
 
 _GEAR = np.random.Generator(np.random.PCG64(77)).integers(1, 2**32, 256, dtype=np.uint64).astype(np.uint32)
 _GEAR[0] = 0  # what lies before a text
@@ -278,7 +278,9 @@ def repeated_chunks(texts: DataFrame, buckets: int, min_words: int) -> DataFrame
 def repeated_passages(texts: DataFrame, chunks: DataFrame, buckets: int, min_words: int) -> DataFrame:
     """(doc, check, passages): the words [lo, hi), packed u4 pairs, of the passages of a row that a document with a smaller
     doc_id has."""
-    rows = texts.join(chunks, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "check", "chunks")
+    only = texts.sparkSession.sparkContext.broadcast(id_filter(chunks.select(F.col("doc").alias("id"))))
+    # both sides grow with the corpus: never a broadcast
+    rows = filtered(texts, "doc_id", only).join(chunks.hint("merge"), F.col("doc_id") == F.col("doc")).select("doc_id", "text", "check", "chunks")
 
     def entries(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         ids, checks, found = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()
@@ -345,13 +347,18 @@ def dedup_substrings(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     found = written(repeated_passages(texts, chunks.df, buckets, min_words), "substring-passages")
     chunks.drop()
     found = found.toDF("__found_doc", "__found_mark", "__found")
-    rows = docs.join(found, (F.col("doc_id").cast("long") == F.col("__found_doc")) & (check == F.col("__found_mark")), "left").drop("__found_doc", "__found_mark")
-    at = keep.index("text")
+    only = spark.sparkContext.broadcast(id_filter(found.select(F.col("__found_doc").alias("id"))))
+    some = filtered(docs, "doc_id", only).join(found.hint("merge"), (F.col("doc_id").cast("long") == F.col("__found_doc")) & (check == F.col("__found_mark")), "left").drop("__found_doc", "__found_mark")
+    at, id_at = keep.index("text"), keep.index("doc_id")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            texts, found = _texts(batch, at), batch.column(len(keep)).to_pylist()
+            joined = batch.num_columns > len(keep)
+            if not joined:  # rows of documents without passages stay where they are
+                batch = in_filter_rows(batch, id_at, only.value, False)
+            texts = _texts(batch, at)
+            found = batch.column(len(keep)).to_pylist() if joined else [None] * len(texts)
             n_words, n_cut, spans = [0] * len(texts), [0] * len(texts), [[] for _ in texts]
             for numbers, words in _pieces(list(texts)):
                 for k, i in enumerate(numbers):
@@ -366,4 +373,5 @@ def dedup_substrings(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     added = [T.StructField("n_words", T.LongType()), T.StructField("removed_words", T.LongType()), T.StructField("removed", spans)]
-    return rows.mapInArrow(rewrite, T.StructType([*docs.schema.fields, *added]))
+    schema = T.StructType([*docs.schema.fields, *added])
+    return docs.mapInArrow(rewrite, schema).union(some.mapInArrow(rewrite, schema))
