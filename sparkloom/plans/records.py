@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import documents as D
 from ..functions import names as N
+from ..operators import dicom as I
 from ..operators import probe as P
 from ..operators import queue as Q
 from ..operators import review as R
+from ..operators.strata import CLASSES as T_CLASSES
 from .queries import Tables, query, r6
 
 
@@ -488,3 +490,57 @@ def q_flat_description(t: Tables) -> DataFrame:
     d = F.array(F.struct(F.lit("Abstract").alias("type"), F.col("text").alias("text")))
     modality = F.when(F.col("lang") == "en", "retinal_oct").when(F.col("lang") == "fr", "volumetric_imaging").otherwise("derived_data")
     return t.documents.select("doc_id", D.flat_description(d, 60).alias("flat"), D.modality_term(modality)["code"].alias("code"))
+
+
+# ---- images in DICOM's terms ----
+
+_CLASSES = [*T_CLASSES, "MASK"]
+_BITS = [8, 12, 32, 16]
+_WHO = ["Topcon", "Optos", "", "Kowa"]
+_WHERE = ["x/1.png", "AS-OCT/2.png", "onh_3.png", "cornea/4.png", "rnfl.png"]
+_WORDS = ["", "circumpapillary scans", "anterior segment images", "optic disc cubes"]
+
+
+def _attributes_sql() -> str:
+    deep = "bits > 8 AND bits <= 16"
+    rows = ", ".join("(" + ", ".join("'" + (y[0] if isinstance(y, tuple) else y).replace("'", "''") + "'" for y in (c, *v)) + ")" for c, v in I.ATTRIBUTES.items())
+    return f"""p AS (SELECT p_partkey, {pick_sql(_CLASSES, 'p_partkey')} AS cls, {pick_sql(_BITS, 'p_partkey', 8)}::INT AS bits, lower({pick_sql(_WHO, 'p_partkey', 3)}) AS who, lower({pick_sql(_WHERE, 'p_partkey', 5)}) AS path, lower({pick_sql(_WORDS, 'p_partkey', 40)}) AS prose, p_size % 2 AS zero FROM part),
+a(cls, modality, sop, image_type, body_part, anatomy, device, filter, channels, illumination) AS (VALUES {rows}),
+j AS (SELECT p.*, a.* EXCLUDE (cls) FROM p JOIN a ON a.cls = p.cls)
+SELECT p_partkey, modality, CASE WHEN sop = '{I.OP8[0]}' AND {deep} THEN '{I.OP16[1]}' ELSE CASE sop {' '.join(f"WHEN '{u}' THEN '{n}'" for u, n in (I.OP8, I.OPT, I.OPTENF, I.OTHER))} END END AS sop_name, image_type,
+  CASE WHEN cls <> 'OCT' THEN anatomy WHEN regexp_matches(path, '{I.ANTERIOR_PATH}') OR regexp_matches(prose, '{I.ANTERIOR_TEXT}') THEN '{I.ANTERIOR}' WHEN regexp_matches(path, '{I.DISC_PATH}') OR regexp_matches(prose, '{I.DISC_TEXT}') THEN '{I.DISC}' ELSE anatomy END AS anatomy,
+  CASE WHEN cls = 'FAF' AND regexp_matches(who, '{I.FLASH_MAKERS}') THEN '{I.CAMERA}' ELSE device END AS device, CASE WHEN cls = 'FAF' AND contains(who, 'optos') THEN '{I.GREEN}' ELSE filter END AS filter,
+  CASE WHEN cls = 'PSC' AND zero = 0 THEN '' ELSE channels END AS channels, CASE WHEN cls = 'PSC' AND zero = 1 THEN 2 END AS samples_used FROM j"""
+
+
+@query("WITH " + _attributes_sql())
+def q_class_attributes(t: Tables) -> DataFrame:
+    k = "p_partkey"
+    x = I.class_attributes(pick(_CLASSES, k), pick(_BITS, k, 8), pick(_WHO, k, 3), pick(_WHERE, k, 5), pick(_WORDS, k, 40), (F.col("p_size") % 2).cast("double"))
+    return t.part.select(k, x.alias("x")).where("x is not null").select(k, *[f"x.{c}" for c in ("modality", "sop_name", "image_type", "anatomy", "device", "filter", "channels", "samples_used")])
+
+
+_MODELS = ["TRC", "Cirrus", "", "HRA"]
+
+
+@query(f"""WITH i AS (SELECT l_orderkey, l_partkey * 1000 + l_suppkey AS pos, l_quantity::INT AS rows, l_suppkey AS cols, (l_partkey % 20)::INT AS bits, CASE WHEN l_linenumber = 3 THEN 5 END AS frames, {pick_sql(_PHOTO, 'l_suppkey')} AS photometric, {pick_sql(_MODELS, 'l_partkey')} AS model,
+  CASE WHEN l_returnflag = 'R' THEN 'OP' WHEN l_returnflag = 'A' THEN 'OPT' END AS hm, CASE WHEN l_returnflag = 'R' AND l_linenumber % 2 = 0 THEN 'Zeiss' END AS hmk, CASE WHEN l_linestatus = 'F' THEN 'Canon' END AS make, CASE WHEN l_linenumber = 1 THEN 'CFP' WHEN l_linenumber = 2 THEN 'OCT' ELSE 'MASK' END AS cls,
+  CASE WHEN l_returnflag = 'R' AND l_suppkey % 2 = 0 THEN 'L' END AS hs, l_suppkey % 3 AS w FROM lineitem),
+s AS (SELECT *, coalesce(hs, CASE w WHEN 0 THEN 'R' WHEN 1 THEN 'L' ELSE 'U' END) AS side, CASE WHEN hs IS NOT NULL THEN 'dicom_header' WHEN w = 0 THEN 'dirname' WHEN w = 1 THEN 'basename' ELSE 'none' END AS src, CASE WHEN upper(photometric) LIKE 'RGB%' OR photometric LIKE 'YBR%' THEN 3 WHEN upper(photometric) LIKE 'MONO%' OR photometric LIKE 'PAL%' THEN 1 END AS spp FROM i),
+v AS (SELECT l_orderkey, pos, unnest(['photometric', 'spp', 'bits', 'model', 'hm', 'hmk', 'make']) AS name, unnest([photometric, spp::VARCHAR, CASE WHEN bits IS NOT NULL THEN bits::VARCHAR END, model, hm, hmk, make]) AS value FROM s),
+n AS (SELECT l_orderkey, name, value, count(*) AS n, min(pos) AS first FROM v WHERE value <> '' GROUP BY 1, 2, 3), r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, name ORDER BY n DESC, first) AS rank FROM n),
+x AS (SELECT l_orderkey, {', '.join(f"coalesce(string_agg(value || ' (' || n || ')', '; ' ORDER BY rank) FILTER (name = '{c}' AND rank <= {k}), '') AS {c}_set" for c, k in (('photometric', 4), ('spp', 3), ('bits', 4), ('model', 3), ('hm', 4)))}, min(value) FILTER (name = 'hmk' AND rank = 1) AS hmk, min(value) FILTER (name = 'make' AND rank = 1) AS make FROM r GROUP BY 1),
+g AS (SELECT l_orderkey, count(*) AS n, count(hm) AS n_header, min(rows) AS r0, max(rows) AS r1, max(coalesce(frames, 1)) AS frames_max, count(*) FILTER (frames > 1) AS multiframe, count(*) FILTER (bits > 16) AS too_deep, count(*) FILTER (hm IS NOT NULL AND cls <> 'MASK') AS q1, count(*) FILTER (hm = CASE cls WHEN 'CFP' THEN 'OP' WHEN 'OCT' THEN 'OPT' END) AS q0,
+  count(*) FILTER (side = 'R') AS sr, count(*) FILTER (side = 'L') AS sl, count(*) FILTER (side = 'U') AS su, count(*) FILTER (side <> 'U' AND src = 'dicom_header') AS f1, count(*) FILTER (side <> 'U' AND src = 'basename') AS f2, count(*) FILTER (side <> 'U' AND src = 'dirname') AS f3 FROM s GROUP BY 1)
+SELECT l_orderkey, n, n_header, CASE WHEN r0 = r1 THEN r0::VARCHAR ELSE r0 || '-' || r1 END AS rows_range, frames_max, multiframe, too_deep, concat_ws(' ', CASE WHEN sr > 0 THEN 'R:' || sr END, CASE WHEN sl > 0 THEN 'L:' || sl END, CASE WHEN su > 0 THEN 'U:' || su END) AS sides,
+  concat_ws('; ', CASE WHEN f1 > 0 THEN 'dicom_header:' || f1 END, CASE WHEN f2 > 0 THEN 'basename:' || f2 END, CASE WHEN f3 > 0 THEN 'dirname:' || f3 END) AS side_sources, coalesce(photometric_set, '') AS photometric_set, coalesce(spp_set, '') AS samples_per_pixel_set, coalesce(bits_set, '') AS bits_set, coalesce(model_set, '') AS model_set, coalesce(hm_set, '') AS header_modality_set,
+  coalesce(hmk, make, '') AS maker, CASE WHEN hmk IS NOT NULL THEN 'dicom_header' WHEN make IS NOT NULL THEN 'exif' ELSE '' END AS maker_source, CASE WHEN q1 > 0 THEN q0 || '/' || q1 ELSE '' END AS qc FROM g LEFT JOIN x USING (l_orderkey)""")
+def q_dicom_rollup(t: Tables) -> DataFrame:
+    flag, line, supp = F.col("l_returnflag"), F.col("l_linenumber"), F.col("l_suppkey")
+    images = t.lineitem.select(
+        "l_orderkey", (F.col("l_partkey") * 1000 + supp).alias("pos"), F.when(line == 1, "CFP").when(line == 2, "OCT").otherwise("MASK").alias("cls"), F.when(supp % 3 == 0, "od/a.png").when(supp % 3 == 1, "b_left.png").otherwise("c.png").alias("path"),
+        F.col("l_quantity").cast("int").alias("rows"), supp.alias("cols"), (F.col("l_partkey") % 20).cast("int").alias("bits"), F.when(line == 3, 5).alias("frames"), pick(_PHOTO, "l_suppkey").alias("photometric"),
+        F.lit(None).cast("int").alias("samples"), F.lit(None).cast("int").alias("allocated"), F.when(F.col("l_linestatus") == "F", "Canon").alias("make"), pick(_MODELS, "l_partkey").alias("model"), F.lit(None).cast("string").alias("lossy"),
+        F.when(flag == "R", "OP").when(flag == "A", "OPT").alias("header_modality"), F.when((flag == "R") & (line % 2 == 0), "Zeiss").alias("header_maker"), F.when((flag == "R") & (supp % 2 == 0), "l").alias("header_side"),
+    )
+    return I.record_rollup(images, ["l_orderkey"], "pos").drop("cols_range", "side_conflicts", "bits_allocated_set", "high_bit_set", "lossy_set")

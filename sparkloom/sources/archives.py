@@ -1,6 +1,7 @@
 """Members of archives as rows: listing with nesting, and reading of chosen members.
 
-Archives arrive as binary rows, one at a time in a task; listing never keeps contents, and errors become rows.
+Archives are opened by path and read as streams, so their size doesn't matter; small ones may also arrive as binary rows.
+Listing never keeps contents, and errors become rows.
 """
 
 from __future__ import annotations
@@ -12,18 +13,25 @@ import lzma
 import struct
 import tarfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from typing import BinaryIO
 
 import pandas as pd
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from ..functions.content import MAGIC, bare_dicom
 
 #: Levels of archives in archives; members of one archive that are listed; bytes of a nested archive that is opened.
 MAX_DEPTH, MAX_MEMBERS, MAX_NESTED = 3, 250_000, 256 << 20
-ENTRIES = "archive string, display string, member string, size long, depth int, encrypted boolean, error string"
+ENTRIES = "archive string, display string, member string, size long, depth int, encrypted boolean, sniffed string, error string"
+#: First bytes that tell what a member without an extension is.
+SNIFFED = 512
 _TAR = (".tar", ".tar.gz", ".tgz", ".tar.bz2", ".tbz2", ".tar.xz", ".txz")
-_SINGLE = {".gz": gzip.decompress, ".bz2": bz2.decompress, ".xz": lzma.decompress}
+_SINGLE = {".gz": gzip.open, ".bz2": bz2.open, ".xz": lzma.open}
 
 
 def kind_of(name: str, head: bytes = b"") -> str | None:
@@ -37,81 +45,142 @@ def kind_of(name: str, head: bytes = b"") -> str | None:
     return None
 
 
-def members(name: str, data: bytes) -> Iterator[tuple[str, int, bool, "object"]]:
-    """(member, size, encrypted, read) of an archive; ``read()`` gives the content."""
-    kind = kind_of(name, data[:512])
+def sniff(head: bytes) -> str | None:
+    """Kind of a file by its first bytes, null if unknown."""
+    for offset, magic, kind in MAGIC:
+        if head[offset : offset + len(magic)] == magic and (kind != "webp" or head[:4] == b"RIFF"):
+            return kind
+    return "dicom" if bare_dicom(head) else None
+
+
+@dataclass(frozen=True)
+class Member:
+    """A file in an archive; ``open`` gives a stream of its content."""
+
+    name: str
+    size: int
+    encrypted: bool
+    open: Callable[[], BinaryIO]
+
+
+def members(name: str, stream: BinaryIO) -> Iterator[Member]:
+    """The files of an archive, from a stream that can seek. Members of tars must be opened before the next is taken."""
+    head = stream.read(SNIFFED)
+    stream.seek(0)
+    kind = kind_of(name, head)
     if kind == "zip":
-        z = zipfile.ZipFile(io.BytesIO(data))
+        z = zipfile.ZipFile(stream)
         for i in z.infolist():
             if not i.is_dir():
-                yield i.filename, i.file_size, bool(i.flag_bits & 1), lambda i=i: z.read(i)
+                yield Member(i.filename, i.file_size, bool(i.flag_bits & 1), lambda i=i: z.open(i))
     elif kind == "tar":
-        with tarfile.open(fileobj=io.BytesIO(data), mode="r:*") as t:
+        with tarfile.open(fileobj=stream, mode="r:*") as t:
             for m in t:
                 if m.isfile():
-                    yield m.name, m.size, False, lambda m=m: t.extractfile(m).read()  # type: ignore[union-attr]
+                    yield Member(m.name, m.size, False, lambda m=m: t.extractfile(m))  # type: ignore[misc]
     elif kind == "single":
         suffix = next(s for s in _SINGLE if name.lower().endswith(s))
-        out = _SINGLE[suffix](data)
-        yield name.rsplit("/", 1)[-1][: -len(suffix)], len(out), False, lambda: out
 
+        def inside() -> BinaryIO:
+            stream.seek(0)
+            return _SINGLE[suffix](stream)
+
+        size, out = 0, inside()
+        while block := out.read(1 << 20):
+            size += len(block)
+        yield Member(name.rsplit("/", 1)[-1][: -len(suffix)], size, False, inside)
 
-def walk(archive: str, name: str, data: bytes, depth: int = 0, prefix: str = "", max_depth: int = MAX_DEPTH) -> Iterator[tuple]:
-    """Rows of ENTRIES; nested archives are opened in place, down to ``max_depth``."""
+
+def walk(archive: str, name: str, stream: BinaryIO, depth: int = 0, prefix: str = "", max_depth: int = MAX_DEPTH, cap: int = MAX_MEMBERS) -> Iterator[tuple]:
+    """Rows of ENTRIES; nested archives are opened in place, down to ``max_depth``. Members beyond the cap are counted in a row
+    of their own, whose size is their number."""
+    over = 0
     try:
-        for n, (member, size, encrypted, read) in enumerate(members(name, data)):
-            if n >= MAX_MEMBERS:
-                yield archive, prefix, None, None, depth, False, f"more than {MAX_MEMBERS} members"
-                return
-            display = f"{prefix}{member}"
-            yield archive, display, member, size, depth, encrypted, None
-            if not encrypted and depth + 1 < max_depth and size <= MAX_NESTED and kind_of(member):
-                yield from walk(archive, member, read(), depth + 1, f"{display}!/", max_depth)  # type: ignore[operator]
+        for n, m in enumerate(members(name, stream)):
+            if n >= cap:
+                over += 1
+                continue
+            display = f"{prefix}{m.name}"
+            sniffed = None
+            if not m.encrypted and "." not in m.name.rsplit("/", 1)[-1] and m.size:
+                with m.open() as f:
+                    sniffed = sniff(f.read(SNIFFED))
+            yield archive, display, m.name, m.size, depth, m.encrypted, sniffed, None
+            if not m.encrypted and depth + 1 < max_depth and m.size <= MAX_NESTED and kind_of(m.name):
+                with m.open() as f:
+                    yield from walk(archive, m.name, io.BytesIO(f.read()), depth + 1, f"{display}!/", max_depth, cap)
     except Exception as e:  # noqa: BLE001  a broken archive is a row, not a failed job
-        yield archive, prefix, None, None, depth, False, f"{type(e).__name__}: {e}"[:300]
+        yield archive, prefix, None, None, depth, False, None, f"{type(e).__name__}: {e}"[:300]
+    if over:
+        yield archive, prefix, None, over, depth, False, None, f"members beyond the first {cap} aren't listed"
+
 
+def _stream(path: str, content: bytes | None) -> BinaryIO:
+    """The archive's stream: its content, or the file at the path."""
+    if content is not None:
+        return io.BytesIO(content)
+    fs, inside = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
+    return fs.open_input_file(inside)
 
-def list_archives(files: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """``files(path, content binary)`` -> a row for each member (ENTRIES). Null content is an error row."""
+
+def _columns(files: DataFrame) -> DataFrame:
+    return files.select("path", "content" if "content" in files.columns else F.lit(None).cast("binary").alias("content"))
+
+
+def list_archives(files: DataFrame, max_depth: int = MAX_DEPTH, cap: int = MAX_MEMBERS) -> DataFrame:
+    """``files(path)`` -> a row for each member (ENTRIES). Archives are read where they are, by ranges; where there is a column
+    ``content binary`` that isn't null, it is read instead. What can't be opened is an error row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in ENTRIES.split(", ")]
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                rows = [(path, "", None, None, 0, False, "no content")] if content is None else list(walk(path, path or "", bytes(content), max_depth=max_depth))
+                try:
+                    with _stream(path or "", None if content is None else bytes(content)) as f:
+                        rows = list(walk(path, path or "", f, max_depth=max_depth, cap=cap))
+                except Exception as e:  # noqa: BLE001
+                    rows = [(path, "", None, None, 0, False, None, f"{type(e).__name__}: {e}"[:300])]
                 yield pd.DataFrame(rows, columns=names).astype({"size": "Int64"})
 
-    return files.select("path", "content").mapInPandas(run, ENTRIES)
+    return _columns(files).mapInPandas(run, ENTRIES)
 
 
 def read_members(files: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Contents of the wanted (archive, display) members: archive, display, content, error; each wanted member once, also if it can't be read.
+    """Contents of the wanted (archive, display) members: archive, display, content, error; each wanted member once, also if it
+    can't be read.
 
-    Each archive is opened once, with the list of its wanted members beside it.
+    Each archive is opened once, with the list of its wanted members beside it, and left once all are read. An error
+    while a member is read is that member's; one while the archive is walked is that of all that are still missing.
     """
     lists = wanted.groupBy("archive").agg(F.collect_set("display").alias("displays"))
-    joined = files.join(lists, F.col("path") == F.col("archive")).select("path", "content", "displays")
+    joined = _columns(files).join(lists, F.col("path") == F.col("archive")).select("path", "content", "displays")
 
-    def dig(name: str, data: bytes, prefix: str, left: set) -> Iterator[tuple[str, bytes]]:
-        for member, _, encrypted, read in members(name, data):
-            display = f"{prefix}{member}"
+    def dig(name: str, stream: BinaryIO, prefix: str, left: set) -> Iterator[tuple[str, bytes | None, str | None]]:
+        for m in members(name, stream):
+            display = f"{prefix}{m.name}"
             inner = any(x.startswith(f"{display}!/") for x in left)
-            if (display in left or inner) and not encrypted:
-                got = read()  # type: ignore[operator]
+            if display in left or inner:
+                try:
+                    with m.open() as f:
+                        got, error = f.read(), None
+                except Exception as e:  # noqa: BLE001
+                    got, error = None, f"{type(e).__name__}: {e}"[:300]
                 if display in left:
-                    yield display, got
-                if inner:
-                    yield from dig(member, got, f"{display}!/", left)
+                    left.discard(display)
+                    yield display, got, error
+                if inner and got is not None:
+                    yield from dig(m.name, io.BytesIO(got), f"{display}!/", left)
+            if not left:
+                return
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content, displays in zip(pdf["path"], pdf["content"], pdf["displays"], strict=True):
                 left, error = set(displays), "not in the archive"
                 try:
-                    for display, got in dig(path, bytes(content), "", set(displays)):
-                        if display in left:
-                            left.discard(display)
-                            yield pd.DataFrame([(path, display, got, None)], columns=["archive", "display", "content", "error"])
+                    with _stream(path, None if content is None else bytes(content)) as f:
+                        for display, got, why in dig(path, f, "", left):
+                            yield pd.DataFrame([(path, display, got, why)], columns=["archive", "display", "content", "error"])
                 except Exception as e:  # noqa: BLE001
                     error = f"{type(e).__name__}: {e}"[:300]
                 yield pd.DataFrame([(path, d, None, error) for d in sorted(left)], columns=["archive", "display", "content", "error"])
@@ -119,8 +188,20 @@ def read_members(files: DataFrame, wanted: DataFrame) -> DataFrame:
     return joined.mapInPandas(run, "archive string, display string, content binary, error string")
 
 
-def central_directory(size: int, read) -> list[tuple[str, int, int, int, int]]:
-    """(name, size, compressed size, crc, method) of a zip from ``read(offset, length)``, without reading members."""
+@dataclass(frozen=True)
+class Entry:
+    """A member of a zip as its directory has it; ``offset``: where its own head is."""
+
+    name: str
+    size: int
+    packed: int
+    crc: int
+    method: int
+    offset: int
+
+
+def central_directory(size: int, read: Callable[[int, int], bytes]) -> list[Entry]:
+    """The members of a zip from ``read(offset, length)``, without reading them; folders and encrypted ones are left out."""
     tail = read(max(0, size - 65_557), min(size, 65_557))
     at = tail.rfind(b"PK\x05\x06")
     if at < 0:
@@ -131,12 +212,16 @@ def central_directory(size: int, read) -> list[tuple[str, int, int, int, int]]:
         place = struct.unpack("<Q", tail[locator + 8 : locator + 16])[0]
         count, length, offset = struct.unpack("<QQQ", read(place, 56)[32:56])
     data, out, p = read(offset, length), [], 0
+    wrapped = 0  # writers without 64-bit fields let offsets beyond 4 GB begin anew
+    before = -1
     for _ in range(count):
         if data[p : p + 4] != b"PK\x01\x02":
             raise ValueError("the central directory is broken")
         flags, method = struct.unpack("<HH", data[p + 8 : p + 12])
         crc, packed, full = struct.unpack("<III", data[p + 16 : p + 28])
         n, extra, comment = struct.unpack("<HHH", data[p + 28 : p + 34])
+        place = struct.unpack("<I", data[p + 42 : p + 46])[0]
+        exact = place == 0xFFFFFFFF
         name = data[p + 46 : p + 46 + n].decode("utf-8" if flags & 0x800 else "cp437")
         x, end = p + 46 + n, p + 46 + n + extra
         while x + 4 <= end:  # 64-bit sizes
@@ -145,10 +230,15 @@ def central_directory(size: int, read) -> list[tuple[str, int, int, int, int]]:
                 values = list(struct.unpack(f"<{size_ // 8}Q", data[x + 4 : x + 4 + size_ // 8 * 8]))
                 full = values.pop(0) if full == 0xFFFFFFFF and values else full
                 packed = values.pop(0) if packed == 0xFFFFFFFF and values else packed
+                place = values.pop(0) if exact and values else place
             x += 4 + size_
         p = end + comment
+        if not exact:
+            wrapped += (place + wrapped < before and size > 1 << 32) << 32
+            place += wrapped
+        before = place
         if not name.endswith("/") and not flags & 1:
-            out.append((name, full, packed, crc, method))
+            out.append(Entry(name, full, packed, crc, method, place))
     return out
 
 
@@ -161,7 +251,7 @@ class ZipListingSource(DataSource):
         return "zip_listing"
 
     def schema(self) -> str:
-        return "path string, name string, size long, compressed_size long, crc long, method int, error string"
+        return "path string, name string, size long, compressed_size long, crc long, method int, header_offset long, error string"
 
     def reader(self, schema) -> DataSourceReader:
         return _ZipReader(self.options["paths"].split(";"))
@@ -175,8 +265,6 @@ class _ZipReader(DataSourceReader):
         return [InputPartition(p) for p in self.paths]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        import pyarrow.fs as pafs
-
         path = partition.value
         try:
             fs, inside = pafs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
@@ -185,7 +273,7 @@ class _ZipReader(DataSourceReader):
                     f.seek(offset)
                     return f.read(length)
 
-                for name, size, packed, crc, method in central_directory(f.size(), read):
-                    yield path, name, size, packed, crc, method, None
+                for e in central_directory(f.size(), read):
+                    yield path, e.name, e.size, e.packed, e.crc, e.method, e.offset, None
         except Exception as e:  # noqa: BLE001
-            yield path, None, None, None, None, None, f"{type(e).__name__}: {e}"[:300]
+            yield path, None, None, None, None, None, None, f"{type(e).__name__}: {e}"[:300]

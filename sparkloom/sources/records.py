@@ -148,9 +148,12 @@ def tree(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return f.select(rel.alias("path"), F.col("length").alias("size"), (F.size(F.split(rel, "/")) - 1).alias("depth"))
 
 
-def readme_sample(spark: SparkSession, files: DataFrame, root: str, names: tuple[str, ...], per_file: int, budget: int) -> DataFrame:
-    """One row with the first ``per_file`` characters of readme files in path order, until ``budget`` characters."""
-    text = spark.read.text(root, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("p"), F.substring("value", 1, per_file).alias("t"))
-    wanted = text.where(F.lower(F.element_at(F.split("p", "/"), -1)).isin(*names)).withColumn("s", F.expr("sum(length(t)) OVER (ORDER BY p) - length(t)"))
-    kept = wanted.where(F.col("s") < budget).select("p", F.substring("t", F.lit(1), (F.lit(budget) - F.col("s")).cast("int")).alias("t"))
+def readme_sample(spark: SparkSession, root: str, names: tuple[str, ...], per_file: int, budget: int) -> DataFrame:
+    """One row with the first ``per_file`` characters of readme files in path order, until ``budget`` characters. Only files
+    whose names begin like one of ``names`` are opened, and at most ``budget`` of them are looked at, as each has a character."""
+    stems = sorted({n.split(".")[0] for n in names})
+    glob = "{" + ",".join("".join(f"[{c.upper()}{c.lower()}]" if c.isalpha() else c for c in s) + "*" for s in stems) + "}"
+    text = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob).select(F.col("_metadata.file_path").alias("p"), F.substring("value", 1, per_file).alias("t"))
+    wanted = text.where(F.lower(F.element_at(F.split("p", "/"), -1)).isin(*names) & (F.length("t") > 0)).orderBy("p").limit(budget)
+    kept = wanted.withColumn("s", F.expr("sum(length(t)) OVER (ORDER BY p) - length(t)")).where(F.col("s") < budget).select("p", F.substring("t", F.lit(1), (F.lit(budget) - F.col("s")).cast("int")).alias("t"))
     return kept.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "t"))), lambda x: x["t"]), "\n").alias("text"))

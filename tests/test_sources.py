@@ -1,10 +1,14 @@
 """Sources, sinks, content checks, conforming and streaming on small local files."""
 
+import dataclasses
 import gzip
+import http.server
 import io
 import json
 import tarfile
+import threading
 import zipfile
+import zlib
 
 import numpy as np
 import pytest
@@ -15,6 +19,7 @@ from sparkloom.functions import images as I
 from sparkloom.plans import conform as P
 from sparkloom.sources import archives as A
 from sparkloom.sources import records as R
+from sparkloom.sources import remote as M
 from sparkloom.sources import sinks as Z
 from sparkloom.streaming import tail as T
 
@@ -92,6 +97,8 @@ def test_archives(spark, tmp_path):
     shown = {r["display"]: r["size"] for r in rows if r["archive"] == "x.zip"}
     assert {"a.png", "n.zip", "n.zip!/in.png", "n.tar.gz", "n.tar.gz!/t.png", "img.tif.gz", "img.tif.gz!/img.tif", "read.txt"} == set(shown) and shown["n.zip!/in.png"] == 5
     assert all(r["error"] for r in rows if r["archive"] != "x.zip")
+    capped = A.list_archives(files.where("path = 'x.zip'"), max_depth=1, cap=2).collect()
+    assert [r["display"] for r in capped if r["member"]] == ["a.png", "n.zip"] and capped[-1]["size"] == 3
     assert "n.zip!/in.png" not in {r["display"] for r in A.list_archives(files, max_depth=1).collect()}
     want = spark.createDataFrame([("x.zip", "n.zip!/in.png"), ("x.zip", "a.png"), ("x.zip", "no"), ("bad.zip", "q")], "archive string, display string")
     got = {(r["archive"], r["display"]): r["content"] for r in A.read_members(files, want).collect()}
@@ -102,6 +109,121 @@ def test_archives(spark, tmp_path):
     assert {r["name"] for r in listed if r["name"]} == {"a.png", "n.zip", "n.tar.gz", "img.tif.gz", "read.txt"} and sum(r["error"] is not None for r in listed) == 1
 
 
+def test_archives_of_any_size_are_opened_by_path(spark, tmp_path):
+    """A zip with a stored member of 2.2 GB, a hole in the file, and members that can't be read beside such that can."""
+    big = tmp_path / "big.zip"
+    size = 2_200_000_000
+    with big.open("wb") as f:
+        f.write(b"PK\x03\x04" + b"\0" * 22 + (5).to_bytes(2, "little") + b"\0\0" + b"a.raw")
+        f.seek(f.tell() + size)
+        second = f.tell()
+        f.write(b"PK\x03\x04" + b"\x0a\0" + b"\0" * 8 + zlib.crc32(b"DICOM").to_bytes(4, "little") + (5).to_bytes(4, "little") * 2 + (1).to_bytes(2, "little") + b"\0\0" + b"b" + b"DICOM")
+        third = f.tell()
+        f.write(b"PK\x03\x04" + b"\x0a\0" + b"\0" * 8 + (1).to_bytes(4, "little") + (5).to_bytes(4, "little") * 2 + (1).to_bytes(2, "little") + b"\0\0" + b"c" + b"wrong")
+        at = f.tell()
+        for name, crc, n, place in ((b"a.raw", 0, size, 0), (b"b", zlib.crc32(b"DICOM"), 5, second), (b"c", 1, 5, third)):
+            f.write(b"PK\x01\x02" + b"\x14\0\x0a\0" + b"\0" * 8 + crc.to_bytes(4, "little") + n.to_bytes(4, "little") * 2 + len(name).to_bytes(2, "little") + b"\0" * 12 + place.to_bytes(4, "little") + name)
+        end = f.tell()
+        f.write(b"PK\x05\x06" + b"\0" * 4 + (3).to_bytes(2, "little") * 2 + (end - at).to_bytes(4, "little") + at.to_bytes(4, "little") + b"\0\0")
+    files = spark.createDataFrame([(str(big),), (str(tmp_path / "none.zip"),)], "path string")
+    rows = A.list_archives(files, max_depth=1).collect()
+    assert {(r["member"], r["size"]) for r in rows if r["archive"] == str(big)} >= {("a.raw", size), ("b", 5)}
+    assert all(r["error"] for r in rows if r["archive"] != str(big))
+    want = spark.createDataFrame([(str(big), x) for x in "bcd"], "archive string, display string")
+    got = {r["display"]: (r["content"], r["error"]) for r in A.read_members(files, want).collect()}
+    assert got["b"] == (b"DICOM", None) and got["c"][0] is None and "CRC" in got["c"][1] and got["d"] == (None, "not in the archive")
+
+
+@pytest.fixture
+def server(tmp_path):
+    """A local server that gives ranges, and whole files below ``whole/``."""
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            data = (tmp_path / self.path.strip("/").removeprefix("whole/")).read_bytes()
+            first, last = (int(x) for x in self.headers["Range"].removeprefix("bytes=").split("-"))
+            part = data if self.path.startswith("/whole/") else data[first : last + 1]
+            self.send_response(200 if self.path.startswith("/whole/") else 206)
+            self.send_header("Content-Range", f"bytes {first}-{last}/{len(data)}")
+            self.send_header("Content-Length", str(len(part)))
+            self.end_headers()
+            self.wfile.write(part)
+
+        def log_message(self, *args):
+            pass
+
+    s = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=s.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{s.server_port}"
+    s.shutdown()
+
+
+def test_members_by_range(tmp_path, server):
+    with zipfile.ZipFile(tmp_path / "x.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.txt", "words " * 100_000)
+        z.writestr("d/", "")
+        z.writestr(zipfile.ZipInfo("b.bin"), b"stored")
+    read, size = M.ranges(f"{server}/x.zip")
+    entries = A.central_directory(size, read)
+    assert [e.name for e in entries] == ["a.txt", "b.bin"] and M.listing_from_json(M.listing_to_json(entries)) == entries
+    meter = M.Meter(read, 1 << 20, 50)
+    assert M.fetch_member(meter, entries[0], 10**6) == b"words " * 100_000 and M.fetch_member(meter, entries[1], 10) == b"stored"
+    assert meter.requests == 4 and meter.bytes < 20_000
+    with pytest.raises(M.BudgetSpent):
+        M.fetch_member(read, entries[0], 1000)
+    with pytest.raises(M.BudgetSpent):
+        M.fetch_member(M.Meter(read, 100), entries[0], 10**6)
+    wrong = dataclasses.replace(entries[1], crc=1)
+    with pytest.raises(ValueError, match="isn't what"):
+        M.fetch_member(read, wrong, 10)
+    with pytest.raises(OSError, match="ranges"):
+        M.ranges(f"{server}/whole/x.zip")
+    with zipfile.ZipFile(io.BufferedReader(M.RangeFile(read, size))) as z:
+        assert z.read("b.bin") == b"stored"
+    assert M.truncated(10, 12, 100) and M.truncated(100, None, 100) and not M.truncated(99, None, 100) and not M.truncated(100, 100, 100)
+
+
+def test_probes(spark, tmp_path, server):
+    names = ["a.png", "d/" + "long" * 60 + ".dcm", "b.bin"]
+    for suffix, mode, form in ((".tar", "w", tarfile.GNU_FORMAT), (".tar.gz", "w:gz", tarfile.PAX_FORMAT), (".tar.xz", "w:xz", tarfile.GNU_FORMAT)):
+        with tarfile.open(tmp_path / f"t{suffix}", mode, format=form) as t:
+            for i, n in enumerate(names):
+                info = tarfile.TarInfo(n)
+                info.size = 1000 * i
+                t.addfile(info, io.BytesIO(b"x" * info.size))
+            t.addfile(tarfile.TarInfo("folder/")) if suffix == ".tar" else None
+    (tmp_path / "img.tif.gz").write_bytes(gzip.compress(b"tif" * 10))
+    (tmp_path / "x.zip").write_bytes(archive())
+    (tmp_path / "bad.zip").write_bytes(b"junk")
+    paths = [f"{server}/{n}" for n in ("t.tar", "t.tar.gz", "x.zip", "bad.zip", "no.7z")] + [str(tmp_path / n) for n in ("t.tar.xz", "img.tif.gz")]
+    rows = M.probe_archives(spark.createDataFrame([(p,) for p in paths if "no.7z" not in p], "path string")).collect()
+    of = lambda end: sorted((r["name"], r["size"]) for r in rows if r["path"].endswith(end) and r["name"] and not r["name"].endswith("/"))
+    want = sorted((n, 1000 * i) for i, n in enumerate(names))
+    assert of("t.tar.gz") == of("t.tar.xz") == want and [x for x in of("t.tar") if x[0] != "folder"] == want
+    assert of("img.tif.gz") == [("img.tif", 30)] and ("n.zip") in {n for n, _ in of("x.zip")}
+    assert all(r["complete"] == (not r["path"].endswith("bad.zip")) for r in rows) and sum(r["error"] is not None for r in rows) == 1
+    few = M.probe_archives(spark.createDataFrame([(str(tmp_path / "t.tar"),)], "path string"), most_requests=3).collect()
+    assert few[-1]["error"].startswith("budget") and not any(r["complete"] for r in few) and few[0]["name"] == "a.png"
+
+
+def test_members_without_extension_are_sniffed(spark, tmp_path):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, data in (("d/IM1", b"\0" * 128 + b"DICM"), ("IM2", b"\x08\x00\x05\x00CS\x04\x00ISO "), ("README", b"text"), ("p.png", b"\x89PNG\r\n\x1a\n"), ("J", b"\xff\xd8\xff")):
+            z.writestr(name, data)
+    got = {r["member"]: r["sniffed"] for r in A.list_archives(spark.createDataFrame([("x.zip", bytearray(out.getvalue()))], "path string, content binary")).collect()}
+    assert got == {"d/IM1": "dicom", "IM2": "dicom", "README": None, "p.png": None, "J": "jpeg"}
+
+
+def test_readme_sample(spark, tmp_path):
+    for name, text in (("a/README.md", "first"), ("b/Readme.TXT", "second"), ("c/readme_not.md", "no"), ("d/x.png", "\xff"), ("e/README", "")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    names = ("readme.md", "readme.txt", "readme")
+    assert R.readme_sample(spark, str(tmp_path), names, 4, 6).first()["text"] == "firs\nse"
+    assert R.readme_sample(spark, str(tmp_path), names, 100, 1000).first()["text"] == "first\nsecond"
+
+
 def test_content(spark):
     cases = {b"\xff\xd8\xff\xe0": "jpeg", b"\x89PNG\r\n\x1a\n": "png", b"\0" * 128 + b"DICM": "dicom", b"": "empty", b"<!DOCTYPE html><html>": "html page", b'<?xml version="1.0"?><Error>x': "XML error page", b"version https://git-lfs.github.com": "git-lfs pointer", b'{"a": 1}': "JSON", b"plain": "text", b"\x00\x01\x02\x03": None, b"../../.git/annex/objects/x": "git-annex link", b"RIFF\0\0\0\0WEBP": "webp", b"\x08\x00\x05\x00CS\x04\x00ISO ": "dicom"}
     df = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(cases)], "i int, head binary")
@@ -161,13 +283,37 @@ def test_sinks(spark, tmp_path):
 def test_stream(spark, tmp_path):
     log, table, mark = tmp_path / "log", str(tmp_path / "table"), str(tmp_path / "mark")
     log.mkdir()
-    line = lambda i, s, n: json.dumps({"record_id": i, "status": s, "seq": n, "ts": f"2024-01-01T00:00:0{n}Z"}) + "\n"
-    run = lambda: T.run_once(lambda: T.keep_latest(T.log_stream(spark, str(log)), table, mark))
-    (log / "1.jsonl").write_text(line("a", "started", 1) + line("b", "ok", 2) + '{"half')
+    line = lambda i, s: json.dumps({"record_id": i, "status": s}) + "\n"
+    run = lambda: T.run_once(lambda: T.keep_latest(T.log_stream(spark, str(log), suffix=".jsonl"), table, mark))
+    state = lambda: {r["record_id"]: r["status"] for r in T.read_latest(spark, table).collect()}
+    with pytest.raises(FileNotFoundError):
+        T.read_latest(spark, table)
+    one = log / "1.jsonl"
+    one.write_text(line("a", "started") + line("b", "ok") + "not json\n" + '{"record_id": "b", "sta')
+    (log / "other.txt").write_text(line("x", "ok"))
+    run()
+    assert state() == {"a": "started", "b": "ok"}
+    with one.open("a") as f:  # the same file grows, and the half line is finished
+        f.write('tus": "error"}\n' + line("a", "ok") + line("a", "failed") + "".join(line(f"r{i}", "ok") for i in range(300)))
+    run()
+    assert state() == {"a": "failed", "b": "error"} | {f"r{i}": "ok" for i in range(300)}
+    (log / "2.jsonl").write_text(line("c", "started") + line("a", "done"))
     run()
-    (log / "2.jsonl").write_text(line("a", "ok", 3) + line("c", "started", 1))
     run()
-    now = T.read_latest(spark, table)
-    assert {r["record_id"]: r["status"] for r in now.collect()} == {"a": "ok", "b": "ok", "c": "started"}
-    m = T.monitor(now, 10, ("started",)).first()
-    assert (m["done"], m["left"], m["by_status"]) == (2, 8, {"ok": 2, "started": 1})
+    assert state() == {"a": "done", "b": "error", "c": "started"} | {f"r{i}": "ok" for i in range(300)}
+    files = {f for v in T._versions(spark, table).values() for f in v.values()}
+    assert len(files) <= len(T._folders(spark, table, 1 << 62)) + 2  # replaced versions are gone, but for those before the last batch
+    m = T.monitor(T.read_latest(spark, table), 400, ("started",)).first()
+    assert (m["done"], m["left"], m["by_status"]["ok"]) == (302, 98, 300)
+
+
+def test_tail_splits_large_logs(tmp_path, monkeypatch):
+    monkeypatch.setattr(T, "CHUNK", 7)
+    path = tmp_path / "x.log"
+    lines = ["", "a", "bb" * 10, "ccc", "é"]
+    path.write_text("\n".join(lines) + "\nhalf")
+    r = T._TailReader(str(path), "")
+    end = r.latestOffset()
+    got = [x for p in r.partitions({}, end) for x in r.read(p)]
+    assert [v for _, _, v in got] == lines and [at for _, at, _ in got] == sorted({at for _, at, _ in got})
+    assert r.partitions(end, end) == [] and [v for p in r.partitions({str(path): 1}, end) for _, _, v in r.read(p)] == lines[1:]
