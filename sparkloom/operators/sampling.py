@@ -6,6 +6,8 @@ cap only adds rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,36 +84,46 @@ def budget_stop(df: DataFrame, group: list[str], key: str, size: str, seed: int,
     return df.withColumn("__sum", F.sum(size).over(w)).withColumn(out, ~F.bool_or(F.col("__sum") > budget).over(w)).drop("__sum")
 
 
-def _folded(df: DataFrame, group: list[str], order: list[str], fold, added: T.StructType) -> DataFrame:
-    """``fold(columns by name)`` over each group's rows, sorted: it gives the rows that stay and what is added to them.
+def _folded(df: DataFrame, group: list[str], order: list[str], used: list[str], begin: Callable[[], list], step: Callable[..., tuple | None], added: T.StructType) -> DataFrame:
+    """Pass over each group's rows in order with a state of the group: ``step(state, *used)`` changes the state and gives the
+    values of the ``added`` columns, or None to drop the row.
 
-    A group is the set of candidates of one decision, whose outcome depends on all before it; its rows meet in one task, are
-    sorted once and passed once.
+    Rows are sorted in their partitions and stream through, so neither many small groups nor a long one is held in memory.
+    A group's rows pass one task: the outcome of each depends on all before it.
     """
 
-    def run(key, table):
-        table = table.sort_by([(c, "ascending") for c in order])
-        rows, values = fold({c: table[c].to_pylist() for c in table.column_names})
-        out = table.take(pa.array(rows, pa.int64()))
-        for f in added.fields:
-            out = out.append_column(f.name, pa.array(values[f.name], to_arrow_type(f.dataType)))
-        return out
-
-    return df.groupBy(*group).applyInArrow(run, T.StructType([*df.schema.fields, *added.fields]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, state = None, None
+        for batch in batches:
+            kept, values = [], [[] for _ in added.fields]
+            groups = zip(*[batch.column(c).to_pylist() for c in group], strict=True)
+            rows = zip(*[batch.column(c).to_pylist() for c in used], strict=True)
+            for i, (now, row) in enumerate(zip(groups, rows, strict=True)):
+                if state is None or now != key:
+                    key, state = now, begin()
+                got = step(state, *row)
+                if got is not None:
+                    kept.append(i)
+                    for v, x in zip(values, got, strict=True):
+                        v.append(x)
+            out = batch.take(pa.array(kept, pa.int64()))
+            more = [pa.array(v, to_arrow_type(f.dataType)) for v, f in zip(values, added.fields, strict=True)]
+            yield pa.RecordBatch.from_arrays([*out.columns, *more], names=[*out.schema.names, *[f.name for f in added.fields]])
+
+    rows = df.repartition(*group).sortWithinPartitions(*group, *order)
+    return rows.mapInArrow(run, T.StructType([*df.schema.fields, *added.fields]))
 
 
 def greedy_budget(df: DataFrame, group: list[str], order: list[str], size: str, budget: float) -> DataFrame:
     """Rows that fit, taken in order, skipping those that don't. Null sizes don't fit."""
 
-    def fold(c: dict) -> tuple[list[int], dict]:
-        total, kept = 0.0, []
-        for i, s in enumerate(c[size]):
-            if s is not None and total + s <= budget:
-                total += s
-                kept.append(i)
-        return kept, {}
+    def step(state: list, s: float | None) -> tuple | None:
+        if s is None or state[0] + s > budget:
+            return None
+        state[0] += s
+        return ()
 
-    return _folded(df, group, order, fold, T.StructType())
+    return _folded(df, group, order, [size], lambda: [0.0], step, T.StructType())
 
 
 def capped_fold(df: DataFrame, group: list[str], order: list[str], size: str, images: str, max_opened: int, max_images: int, empty_streak: int, max_size: float, budget: float, out: str = "fetched") -> DataFrame:
@@ -119,20 +131,15 @@ def capped_fold(df: DataFrame, group: list[str], order: list[str], size: str, im
     one archive; ``opened``, ``images`` and ``empty`` end the loop: after ``max_opened``, once it has ``max_images``, or after
     ``empty_streak`` archives without images in a row. Null sizes are skipped."""
 
-    def fold(c: dict) -> tuple[list[int], dict]:
-        opened, seen, streak, total = 0, 0, 0, 0.0
-        flags, why = [], []
-        for s, n in zip(c[size], c[images], strict=True):
-            stop = "opened" if opened >= max_opened else "images" if seen >= max_images else "empty" if streak >= empty_streak else None
-            stop = stop or ("size" if s is None or s > max_size else "budget" if total + s > budget else None)
-            flags.append(stop is None)
-            why.append(stop)
-            if stop is None:
-                opened, seen, total = opened + 1, seen + (n or 0), total + s
-                streak = 0 if n else streak + 1
-        return list(range(len(flags))), {out: flags, "reason": why}
-
-    return _folded(df, group, order, fold, T.StructType([T.StructField(out, T.BooleanType()), T.StructField("reason", T.StringType())]))
+    def step(state: list, s: float | None, n: int | None) -> tuple:
+        opened, seen, streak, total = state
+        stop = "opened" if opened >= max_opened else "images" if seen >= max_images else "empty" if streak >= empty_streak else None
+        stop = stop or ("size" if s is None or s > max_size else "budget" if total + s > budget else None)
+        if stop is None:
+            state[:] = opened + 1, seen + (n or 0), 0 if n else streak + 1, total + s
+        return stop is None, stop
+
+    return _folded(df, group, order, [size, images], lambda: [0, 0, 0, 0.0], step, T.StructType([T.StructField(out, T.BooleanType()), T.StructField("reason", T.StringType())]))
 
 
 def entry_cap(df: DataFrame, group: list[str], order: list[str], cap: int) -> DataFrame:
