@@ -599,13 +599,6 @@ def q_access_summary(t: Tables) -> DataFrame:
     return A.counters(t.documents.select("lang", "source"), {"lang": "lang", "source": "source"})
 
 
-@query("""SELECT p_brand AS model_version, count(*) AS n_sources, count(DISTINCT p_type) AS n_classes, sum(p_size)::BIGINT AS train_n, string_agg(p_partkey::VARCHAR, ', ' ORDER BY p_partkey) FILTER (p_size >= 48) AS flagged, min(p_partkey) AS first_pos FROM part GROUP BY 1""")
-def q_train_summary(t: Tables) -> DataFrame:
-    flagged = F.array_sort(F.collect_list(F.when(F.col("p_size") >= 48, F.col("p_partkey"))))
-    out = t.part.groupBy(F.col("p_brand").alias("model_version")).agg(F.count("*").alias("n_sources"), F.count_distinct("p_type").alias("n_classes"), F.sum("p_size").alias("train_n"), flagged.alias("f"), F.min("p_partkey").alias("first_pos"))
-    return out.withColumn("flagged", F.when(F.size("f") > 0, F.array_join(F.transform("f", lambda x: x.cast("string")), ", "))).drop("f")
-
-
 @query("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, json_extract(props, '$.missing') IS NOT NULL AS has_missing FROM events")
 def q_json_props(t: Tables) -> DataFrame:
     v = F.try_parse_json("props")

@@ -12,6 +12,7 @@ from ..operators import probe as P
 from ..operators import queue as Q
 from ..operators import review as R
 from ..operators.strata import CLASSES as T_CLASSES
+from . import workbook as W
 from .queries import Tables, query, r6
 
 
@@ -544,3 +545,51 @@ def q_dicom_rollup(t: Tables) -> DataFrame:
         F.when(flag == "R", "OP").when(flag == "A", "OPT").alias("header_modality"), F.when((flag == "R") & (line % 2 == 0), "Zeiss").alias("header_maker"), F.when((flag == "R") & (supp % 2 == 0), "l").alias("header_side"),
     )
     return I.record_rollup(images, ["l_orderkey"], "pos").drop("cols_range", "side_conflicts", "bits_allocated_set", "high_bit_set", "lossy_set")
+
+
+# ---- workbook ----
+
+_SURVEY_SQL = """r AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice, count(l_orderkey) AS n_classified FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL)"""
+
+
+def _survey(t: Tables) -> DataFrame:
+    flags = t.lineitem.groupBy("l_orderkey", "l_returnflag").agg(F.count("*").alias("n"), F.round(F.avg("l_discount"), 6).alias("conf"))
+    classes = flags.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct("l_returnflag", F.struct("n", "conf")))).alias("classes"), F.sum("n").alias("n_classified"))
+    k = F.col("o_orderkey")
+    return t.orders.join(classes, F.col("l_orderkey") == k, "left").select(
+        k.alias("record_id"), F.col("o_orderstatus").alias("status"), F.when(k % 3 > 0, F.col("o_orderpriority")).alias("sampling_pass"), F.coalesce("n_classified", F.lit(0)).alias("n_classified"), "classes",
+        F.when(k % 2 == 0, F.array(F.lit("OCT"))).otherwise(F.expr(R.NO_TEXTS)).alias("present"), (k % 5 == 0).alias("mask_dominated"), F.when(k % 4 > 0, k % 4 == 1).alias("kept"), F.round("o_totalprice").cast("long").alias("kept_bytes"),
+        F.when(F.col("o_custkey") % 2 == 0, F.struct(F.col("o_custkey").alias("c"))).alias("document"), F.when(F.col("o_custkey") % 3 == 0, F.create_map(F.lit("title"), "o_orderstatus", F.lit("date"), "o_orderpriority")).otherwise(F.create_map(F.lit("title"), "o_orderstatus")).alias("provenance"),
+    )
+
+
+@query(f"""WITH {_SURVEY_SQL}, s AS (SELECT count(*) AS n, count(*) FILTER (n_classified > 0) AS c, count(*) FILTER (o_orderkey % 2 = 0) AS e, count(*) FILTER (o_orderkey % 5 = 0) AS m, count(*) FILTER (o_orderkey % 4 = 1) AS k, coalesce(sum(round(o_totalprice)) FILTER (o_orderkey % 4 = 1), 0) AS b, count(*) FILTER (o_custkey % 2 = 0) AS d FROM r),
+t AS (SELECT 0 AS part, '' AS o, unnest(['Records', 'Records with classified images', 'Records with an eye modality', 'Records whose images are mostly masks', 'Records whose fetched files were kept', 'Bytes kept', 'Records with documents']) AS key, unnest([n::VARCHAR, c::VARCHAR, e::VARCHAR, m::VARCHAR, k::VARCHAR,
+  CASE WHEN b >= 1e12 THEN {half_up('b / 1e12', 1)} || ' TB' WHEN b >= 1e9 THEN {half_up('b / 1e9', 1)} || ' GB' WHEN b >= 1e6 THEN {half_up('b / 1e6', 1)} || ' MB' ELSE {half_up('b / 1e3', 1)} || ' KB' END, d::VARCHAR]) AS value, unnest(range(7)) AS i FROM s
+  UNION ALL SELECT 1, o_orderstatus, 'Status: ' || o_orderstatus, count(*)::VARCHAR, 0 FROM r GROUP BY o_orderstatus UNION ALL SELECT 2, p, 'Pass: ' || p, count(*)::VARCHAR, 0 FROM (SELECT CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority ELSE '(none)' END AS p FROM r) GROUP BY p)
+SELECT row_number() OVER (ORDER BY part, i, o) - 1 AS position, key, value FROM t""")
+def q_workbook_readme(t: Tables) -> DataFrame:
+    return W.readme(W.summary(_survey(t))).select(F.col("position").cast("long").alias("position"), "key", "value")
+
+
+@query("""WITH c AS (SELECT l_orderkey AS record_id, l_returnflag AS class, count(*) AS n, round(avg(l_discount), 6) AS mean_conf FROM lineitem GROUP BY 1, 2)
+SELECT record_id, class, n, mean_conf, round(n::DOUBLE / sum(n) OVER (PARTITION BY record_id), 6) AS share FROM c WHERE record_id IN (SELECT o_orderkey FROM orders)""")
+def q_record_classes(t: Tables) -> DataFrame:
+    return W.record_classes(_survey(t)).withColumn("share", r6("share"))
+
+
+@query("""WITH p AS (SELECT 'title' AS field, o_orderstatus AS source FROM orders UNION ALL SELECT 'date', o_orderpriority FROM orders WHERE o_custkey % 3 = 0), n AS (SELECT field, source, count(*) AS n FROM p GROUP BY 1, 2)
+SELECT field, sum(n)::BIGINT AS n_filled, string_agg(source || ' (' || n || ')', '; ' ORDER BY n DESC, source) AS sources FROM n GROUP BY 1""")
+def q_schema_fields(t: Tables) -> DataFrame:
+    return W.schema_fields(_survey(t))
+
+
+@query("""WITH s AS (SELECT p_brand AS mv, p_partkey AS pos, 's' || p_partkey AS id, p_type AS class, p_size AS train, p_size % 7 AS test, p_size = 13 AS synth, p_size = 1 AS ev, p_size >= 49 AS flag FROM part)
+SELECT mv AS model_version, min(pos) AS first, mv || ': ' || count(*) || ' source rows over ' || count(DISTINCT class) || ' classes (' || string_agg(DISTINCT class, ', ' ORDER BY class) || '), ' || sum(train) || ' training images, ' || sum(test) || ' test images'
+  || coalesce('; synthetic: ' || string_agg(id, ', ' ORDER BY pos) FILTER (synth), '') || coalesce('; evaluation only (never trained on): ' || string_agg(id, ', ' ORDER BY pos) FILTER (ev), '') || coalesce('; trained on sources not cleared by license policy: ' || string_agg(id, ', ' ORDER BY pos) FILTER (flag), '') AS text FROM s GROUP BY mv""")
+def q_train_summary(t: Tables) -> DataFrame:
+    s = t.part.select(
+        F.col("p_partkey").alias("position"), F.col("p_brand").alias("model_version"), F.concat(F.lit("s"), F.col("p_partkey").cast("string")).alias("source_id"), F.col("p_type").alias("class"), F.col("p_size").alias("train_n"), (F.col("p_size") % 7).alias("test_n"),
+        F.when(F.col("p_size") == 13, "Yes").alias("synthetic"), F.when(F.col("p_size") == 1, "eval_only_x").alias("role"), F.when(F.col("p_size") >= 49, "blocked").alias("policy"),
+    )
+    return W.training_summary(s)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions import content as K
 from sparkloom.functions import images as I
 from sparkloom.plans import conform as P
+from sparkloom.plans import workbook as W
 from sparkloom.sources import archives as A
 from sparkloom.sources import records as R
 from sparkloom.sources import remote as M
@@ -280,6 +281,23 @@ def test_sinks(spark, tmp_path):
     assert (dst / "d/a.txt").read_text() == "x"
 
 
+def test_workbook(spark, tmp_path):
+    rows = [(10, "ok", "deep", 4, ["OCTA"], {"OCTA": (3, 0.5), "NEG": (1, 0.9)}, False, 0.2, "NEGATIVE", [("u", "o", "k")], [("a.zip", 5)], {"png": 3}, {"czi": 1}, True, 2_000_000, '{"t": 1}', {"title": "x"}, "OP\x01"), (9, "no_files", None, 0, [], None, None, None, None, None, None, None, None, None, None, None, None, None)]
+    kind = "record_id long, status string, sampling_pass string, n_classified int, present array<string>, classes map<string,struct<n:int,conf:double>>, mask_dominated boolean, eye_image_fraction double, setfit_label string, weblinks array<struct<url:string,origins:string,kind:string>>, probes array<struct<key:string,size:int>>, formats_classified map<string,int>, formats_unread map<string,int>, kept boolean, kept_bytes long, document string, provenance map<string,string>, dicom_modality string"
+    records = spark.createDataFrame(rows, kind)
+    other = spark.createDataFrame([(1, "x")], "rank int, title string")
+    book = W.sheets(records, other, other)
+    assert len(book) == 12
+    Z.workbook(book, str(tmp_path / "book"), ("parquet", "csv"))
+    read = lambda n: spark.read.parquet(str(tmp_path / f"book/{n}.parquet")).collect()
+    assert [r["record_id"] for r in book["Records"].collect()] == [9, 10] and {r["dicom_modality"] for r in read("DICOM_Mapping")} == {"OP", None}
+    assert [r["review_likely_false_positive"] for r in read("Review_Likely_FP")] == ["only OCTA; discovery SetFit label NEGATIVE; eye image fraction 0.20 < 0.5"]
+    assert {(r["class"], r["n"], r["share"]) for r in read("Record_Classes")} == {("OCTA", 3, 0.75), ("NEG", 1, 0.25)}
+    assert {r["key"]: r["value"] for r in read("README")} == {"Records": "2", "Records with classified images": "1", "Records with an eye modality": "1", "Records whose images are mostly masks": "0", "Records whose fetched files were kept": "1", "Bytes kept": "2.0 MB", "Records with documents": "1", "Status: no_files": "1", "Status: ok": "1", "Pass: (none)": "1", "Pass: deep": "1"}
+    empty = W.sheets(records.limit(0), other, other)
+    assert {n: t.count() for n, t in empty.items() if n not in ("README", "Access_Requests", "Model_Training_Datasets")} == dict.fromkeys(set(book) - {"README", "Access_Requests", "Model_Training_Datasets"}, 0)
+
+
 def test_stream(spark, tmp_path):
     log, table, mark = tmp_path / "log", str(tmp_path / "table"), str(tmp_path / "mark")
     log.mkdir()
