@@ -99,7 +99,7 @@ def laterality(path: Column) -> Column:
 
     hits = F.filter(F.reverse(F.transform(parts, component)), lambda c: F.size(c["sides"]) > 0)
     hit = F.get(hits, F.lit(0))
-    single = F.array_remove(hit["sides"], "B")
+    single = F.filter(F.coalesce(hit["sides"], F.expr("cast(array() as array<string>)")), lambda s: s != "B")
     return (
         F.when(hit.isNull(), F.struct(F.lit("U").alias("side"), F.lit("none").alias("source"), F.lit(False).alias("conflict")))
         .when(F.size(single) > 1, F.struct(F.lit("U").alias("side"), hit["source"].alias("source"), F.lit(True).alias("conflict")))

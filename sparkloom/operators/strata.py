@@ -94,7 +94,7 @@ def softmax(logits: Column) -> Column:
 def thresholded(probs: Column, classes: list[str], threshold: float) -> tuple[Column, Column, Column]:
     """Top class, its probability, and the label: the top class, or UNCERTAIN below the threshold."""
     p = F.array_max(probs)
-    top = F.element_at(F.array(*map(F.lit, classes)), F.array_position(probs, p).cast("int"))
+    top = F.get(F.array(*map(F.lit, classes)), F.array_position(probs, p).cast("int") - 1)
     return top, p, F.when(p >= threshold, top).otherwise(F.lit(UNCERTAIN))
 
 

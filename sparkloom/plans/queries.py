@@ -301,7 +301,7 @@ _FIRST_SQL = r"coalesce(try_cast(regexp_extract(lower(name), '\.([0-9]{3})$', 1)
 
 
 def _named(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", F.element_at(F.array(*map(F.lit, _NAMES)), (F.col("p_partkey") % len(_NAMES)).cast("int") + 1).alias("name"))
+    return t.part.select("p_partkey", F.get(F.array(*map(F.lit, _NAMES)), (F.col("p_partkey") % len(_NAMES)).cast("int")).alias("name"))
 
 
 @query(f"WITH n AS (SELECT p_partkey, name, {_EXT_SQL} AS ext, {_FRAG_SQL} AS frag, {_FIRST_SQL} AS first FROM {_NAMES_SQL}) SELECT p_partkey, name, ext, {_KIND_SQL} AS kind FROM n")
@@ -316,7 +316,7 @@ k AS (SELECT *, coalesce(CASE WHEN regexp_matches(lower(name), '\.([0-9]{3}|part
 SELECT p_brand, set_key, count(*) AS n_parts, count(*) > 1 OR set_key LIKE '1:%' AS is_set FROM k WHERE set_key IS NOT NULL GROUP BY 1, 2""")
 def q_split_sets(t: Tables) -> DataFrame:
     names = ["big.z01", "big.zip", "set.part1.rar", "set.part2.rar", "a.7z.001", "b.tar.002", "c.zip.partab", "one.png"]
-    n = t.part.select("p_brand", F.element_at(F.array(*map(F.lit, names)), (F.col("p_partkey") % 8).cast("int") + 1).alias("name"))
+    n = t.part.select("p_brand", F.get(F.array(*map(F.lit, names)), (F.col("p_partkey") % 8).cast("int")).alias("name"))
     keyed = n.select("p_brand", N.split_set(F.col("name")).alias("set_key")).where("set_key is not null")
     return keyed.groupBy("p_brand", "set_key").agg(F.count("*").alias("n_parts")).withColumn("is_set", (F.col("n_parts") > 1) | F.col("set_key").startswith("1:"))
 
@@ -327,7 +327,7 @@ o(ext, rank, data) AS (VALUES ('.hdr', 0, '.img'), ('.hdr', 1, '.cfl'), ('.hdr',
 SELECT h.p_brand, h.header, arg_min(f.name, rank) AS data FROM h JOIN o ON h.ext = o.ext JOIN f ON f.p_brand = h.p_brand AND lower(f.name) = h.stem || o.data GROUP BY 1, 2""")
 def q_companion(t: Tables) -> DataFrame:
     exts = [".hdr", ".dat", ".IMG", ".mhd", ".zraw", ".png"]
-    f = t.part.select("p_brand", F.concat(F.lit("v"), F.expr("p_partkey div 6").cast("string"), F.element_at(F.array(*map(F.lit, exts)), (F.col("p_partkey") % 6).cast("int") + 1)).alias("name"))
+    f = t.part.select("p_brand", F.concat(F.lit("v"), F.expr("p_partkey div 6").cast("string"), F.get(F.array(*map(F.lit, exts)), (F.col("p_partkey") % 6).cast("int"))).alias("name"))
     return J.companions(f, ["p_brand"], "name")
 
 
@@ -375,7 +375,7 @@ _SITES = ["zenodo.org/records/{}", "github.com/a/{}", "doi.org/10.5281/zenodo.{}
 
 
 def _site(t: Tables) -> DataFrame:
-    url = F.replace(F.element_at(F.array(*[F.lit("https://" + s) for s in _SITES]), (F.col("c_custkey") % len(_SITES)).cast("int") + 1), F.lit("{}"), F.col("c_custkey").cast("string"))
+    url = F.replace(F.get(F.array(*[F.lit("https://" + s) for s in _SITES]), (F.col("c_custkey") % len(_SITES)).cast("int")), F.lit("{}"), F.col("c_custkey").cast("string"))
     return t.customer.select("c_custkey", url.alias("url"))
 
 
@@ -430,7 +430,7 @@ _EYE_SQL = "p_name || ' ' || (" + "[" + ", ".join(f"'{x}'" for x in _TERMS) + "]
 
 @query(f"""WITH x AS (SELECT p_partkey, {_EYE_SQL} AS s FROM part) SELECT p_partkey, array_to_string({_terms_sql()}, '; ') AS terms FROM x""")
 def q_keywords(t: Tables) -> DataFrame:
-    at = lambda k: F.element_at(F.array(*map(F.lit, _TERMS)), (k % 10).cast("int") + 1)
+    at = lambda k: F.get(F.array(*map(F.lit, _TERMS)), (k % 10).cast("int"))
     s = F.concat_ws(" ", "p_name", at(F.col("p_partkey")), "p_type", at(F.expr("p_partkey div 10")))
     return t.part.select("p_partkey", F.array_join(X.keyword_terms(s), "; ").alias("terms"))
 
@@ -442,7 +442,7 @@ _IDS = ["cc-by-4.0", "cc-by-nc-4.0", "mit", "gpl", "", "other-closed", "cc0-1.0"
 SELECT s_suppkey, CASE WHEN len(ids) = 0 THEN 'no_license' WHEN len(list_filter(ids, lambda x: regexp_matches(x, '(^|-)(nc|nd)(-|$)'))) > 0 THEN 'evaluate_only_nc_nd' WHEN len(list_filter(ids, lambda x: NOT regexp_matches(x, '^(cc0|cc-by|mit)'))) = 0 THEN 'train' ELSE 'check_license' END AS use FROM i""")
 def q_license_use(t: Tables) -> DataFrame:
     ids = F.array(*map(F.lit, _IDS))
-    at = lambda k: F.element_at(ids, (F.col("s_suppkey") % k).cast("int") + 1)
+    at = lambda k: F.get(ids, (F.col("s_suppkey") % k).cast("int"))
     return t.supplier.select("s_suppkey", X.license_use(F.array(at(9), at(4))).alias("use"))
 
 
@@ -464,7 +464,7 @@ f AS (SELECT p_partkey, i, list(DISTINCT side) FILTER (side <> 'B') AS one FROM
 
 @query(f"""WITH {_laterality_sql()} SELECT p.p_partkey, CASE WHEN f.i IS NULL OR len(one) > 1 THEN 'U' ELSE coalesce(one[1], 'B') END AS side, CASE WHEN f.i IS NULL THEN 'none' WHEN f.i = 1 THEN 'basename' ELSE 'dirname' END AS source, coalesce(len(one) > 1, false) AS conflict FROM p LEFT JOIN f ON f.p_partkey = p.p_partkey""")
 def q_laterality(t: Tables) -> DataFrame:
-    at = lambda values, k: F.element_at(F.array(*map(F.lit, values)), (k % len(values)).cast("int") + 1)
+    at = lambda values, k: F.get(F.array(*map(F.lit, values)), (k % len(values)).cast("int"))
     path = F.concat(at(_FOLDERS, F.col("p_partkey")), F.lit("/"), at(_FILE_NAMES, F.expr("p_partkey div 8")), F.lit(".png"))
     return t.part.select("p_partkey", X.laterality(path).alias("x")).select("p_partkey", "x.*")
 

@@ -22,7 +22,7 @@ def literals(values) -> str:
 
 def pick(values, key: str, step: int = 1) -> F.Column:
     """One of the values for each row."""
-    return F.element_at(F.array(*map(F.lit, values)), (F.expr(f"{key} div {step}") % len(values)).cast("int") + 1)
+    return F.get(F.array(*map(F.lit, values)), (F.expr(f"{key} div {step}") % len(values)).cast("int"))
 
 
 def pick_sql(values, key: str, step: int = 1) -> str:
@@ -55,7 +55,7 @@ def _records(t: Tables) -> DataFrame:
 @query(f"""WITH {_RECORDS_SQL}, w AS (SELECT *, list_filter([CASE WHEN c_mktsegment = 'BUILDING' THEN 'discovery SetFit label NEGATIVE' END, CASE WHEN eye < 0.5 THEN 'eye image fraction ' || {half_up('eye', 2)} || ' < 0.5' END], lambda x: x IS NOT NULL) AS why FROM r)
 SELECT c_custkey, CASE WHEN c_nationkey % 3 < 2 AND len(present) > 0 AND len(list_filter(present, lambda c: c NOT IN ('OCTA', 'PSC'))) = 0 AND len(why) > 0 THEN 'only ' || array_to_string(present, ' + ') || '; ' || array_to_string(why, '; ') ELSE '' END AS review FROM w""")
 def q_review_fp(t: Tables) -> DataFrame:
-    status = F.element_at(F.array(F.lit("ok"), F.lit("ok_partial_download"), F.lit("error")), F.col("c_nationkey") % 3 + 1)
+    status = F.get(F.array(F.lit("ok"), F.lit("ok_partial_download"), F.lit("error")), F.col("c_nationkey") % 3)
     label = F.when(F.col("c_mktsegment") == "BUILDING", "negative").otherwise("POSITIVE")
     return _records(t).select("c_custkey", R.likely_false_positive(status, F.col("present"), label, F.col("eye")).alias("review"))
 
@@ -248,7 +248,7 @@ def q_access_requests(t: Tables) -> DataFrame:
 @query("""SELECT o_orderkey, o_orderstatus = 'F' AND regexp_matches(CASE o_custkey % 4 WHEN 0 THEN '--keep-max-gb 5' WHEN 1 THEN 'disk: full' WHEN 2 THEN 'no eye image' END, '^(--keep-max-gb|disk:)') IS TRUE AS refused,
   o_orderkey % 600 IN (429, 500, 502, 503, 504) AS retryable, (o_custkey % 9 + o_orderkey % 4)::BIGINT AS n_eye FROM orders""")
 def q_keep_flags(t: Tables) -> DataFrame:
-    reason = F.element_at(F.array(F.lit("--keep-max-gb 5"), F.lit("disk: full"), F.lit("no eye image"), F.lit(None)), (F.col("o_custkey") % 4).cast("int") + 1)
+    reason = F.get(F.array(F.lit("--keep-max-gb 5"), F.lit("disk: full"), F.lit("no eye image"), F.lit(None)), (F.col("o_custkey") % 4).cast("int"))
     counts = {"CFP": (F.col("o_custkey") % 9).cast("string"), "OCT": (F.col("o_orderkey") % 4).cast("string"), "IR": F.lit("n/a"), "NEG": F.lit("100")}
     return t.orders.select("o_orderkey", Q.refused_for_room(F.col("o_orderstatus") != "F", reason).alias("refused"), Q.retryable((F.col("o_orderkey") % 600).cast("int")).alias("retryable"), Q.eye_images(counts).alias("n_eye"))
 
@@ -449,7 +449,7 @@ def q_access_texts(t: Tables) -> DataFrame:
 SELECT o_orderkey, CASE WHEN n >= 1e12 THEN {half_up('n / 1e12', 1)} || ' TB' WHEN n >= 1e9 THEN {half_up('n / 1e9', 1)} || ' GB' WHEN n >= 1e6 THEN {half_up('n / 1e6', 1)} || ' MB' WHEN n >= 1e3 THEN {half_up('n / 1e3', 1)} || ' KB' ELSE n::BIGINT || ' B' END AS size,
   CASE WHEN length(o_orderpriority || '  x') > 9 THEN regexp_replace(o_orderpriority || '  x', '\\s+', ' ', 'g')[1:6] || '...' ELSE regexp_replace(o_orderpriority || '  x', '\\s+', ' ', 'g') END AS short, 'a: ' || o_orderstatus || '; b: 1' AS cell, CASE WHEN o_orderstatus IN ('O', 'F') THEN o_orderstatus ELSE 'Other' END AS enum FROM s""".replace("length(o_orderpriority || '  x') > 9", "length(regexp_replace(o_orderpriority || '  x', '\\s+', ' ', 'g')) > 9"))
 def q_cells(t: Tables) -> DataFrame:
-    n = F.element_at(F.array(*[F.lit(10.0 ** (3 * i)) for i in range(5)]), (F.col("o_orderkey") % 5).cast("int") + 1) * (F.col("o_custkey") % 900 + 1)
+    n = F.get(F.array(*[F.lit(10.0 ** (3 * i)) for i in range(5)]), (F.col("o_orderkey") % 5).cast("int")) * (F.col("o_custkey") % 900 + 1)
     return t.orders.select("o_orderkey", D.human_size(n).alias("size"), D.short(F.concat(F.lit(" "), "o_orderpriority", F.lit("  x")), 9).alias("short"), D.flat_map(F.create_map(F.lit("a"), "o_orderstatus", F.lit("b"), F.lit("1"))).alias("cell"), D.allowed(F.col("o_orderstatus"), ("O", "F")).alias("enum"))
 
 
