@@ -453,7 +453,7 @@ _FILE_NAMES = ["img_01", "12_L", "L", "scan_L1_R2", "pt_left_OS", "a_R_b_L", "x"
 def _laterality_sql() -> str:
     """The sides of the name and of its folders from the nearest, the first that has any."""
     sides = "CASE t " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in X.SIDES.items()) + " END"
-    return f"""p AS (SELECT p_partkey, ([{', '.join(f"'{x}'" for x in _FOLDERS)}])[(p_partkey % 8)::INT + 1] || '/' || ([{', '.join(f"'{x}'" for x in _FILE_NAMES)}])[(p_partkey // 8 % 11)::INT + 1] || '.png' AS path FROM part),
+    return rf"""p AS (SELECT p_partkey, ([{', '.join(f"'{x}'" for x in _FOLDERS)}])[(p_partkey % 8)::INT + 1] || '/' || ([{', '.join(f"'{x}'" for x in _FILE_NAMES)}])[(p_partkey // 8 % 11)::INT + 1] || '.png' AS path FROM part),
 c AS (SELECT p_partkey, list_reverse(list_filter(string_split_regex(path, '!/|/'), lambda x: x <> '')) AS parts FROM p),
 k AS (SELECT p_partkey, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM c),
 w AS (SELECT p_partkey, i, list_filter(string_split_regex(lower(CASE WHEN i = 1 THEN regexp_replace(part, '\.[^.]*$', '') ELSE part END), '[^a-z0-9]+'), lambda x: x <> '') AS tokens FROM k),
