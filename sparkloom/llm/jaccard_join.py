@@ -31,11 +31,15 @@ NUM, DEN, WORDS = 80, 100, 5
 FREQUENT, MOST_FREQUENT, MAP = 64, 1 << 21, 1 << 25
 #: A class with more than one in so many rows is hot; there are fewer than HOT such classes, so they can be broadcast.
 HOT = 1000
-#: Entries of the inverted lists that one task holds, about: 64 MB. A bucket gives each pair once, however many lists the
+#: Entries of the inverted lists that one task holds, about: 32 MB. A bucket gives each pair once, however many lists the
 #: pair shares in it, so few large buckets repeat fewer pairs than many small ones.
-BUCKET = 1 << 22
+BUCKET = 1 << 21
+#: Entries that a worker holds before it sends them.
+HELD = 500_000
 #: Cells of the sketch that measures the lengths of lists, for each power of two of the set size.
 SKETCH = 4096
+#: Cells of a bitmap for each shingle, about; representatives with which a list links each of its sets.
+CELLS, HEADS = 4, 4
 #: Cost of scanning past an entry of a list, relative to writing one.
 SCAN = 0.02
 
@@ -61,9 +65,9 @@ def _prefix(shingles: np.ndarray, frequent: np.ndarray | None, num: int, den: in
 
 
 def parity_bits(shingles: np.ndarray) -> bytes:
-    """Parity of the shingles in each of b cells, b the power of two from n up, 64 at least. Two sets that differ in d
-    shingles differ in at most d cells."""
-    b = max(64, 1 << (len(shingles) - 1).bit_length())
+    """Parity of the shingles in each of b cells, b CELLS times the power of two from n up. Two sets that differ in d
+    shingles differ in at most d cells, and hardly in fewer."""
+    b = CELLS << max(4, (len(shingles) - 1).bit_length())
     counts = np.bincount((mix(shingles) & np.uint64(b - 1)).astype(np.int64), minlength=b)
     return np.packbits((counts & 1).astype(bool)).tobytes()
 
@@ -223,7 +227,7 @@ def frequent_bits(docs: DataFrame, entries: int, num: int, den: int) -> tuple[np
                 size += len(p)
                 got = sketch.setdefault(len(s).bit_length() - 1, np.zeros(SKETCH, np.int64))
                 got += np.bincount((mix(p) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-                if size > 2_000_000:
+                if size > HELD:
                     yield flush()
                     held, size = [], 0
         if held:
@@ -286,7 +290,8 @@ def _gather(table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _star(num: int, den: int):
-    """Of each list: each set with the one before it in size, and with the smallest id in its band of sizes.
+    """Of each list: each set with the one before it in size, and with HEADS others of its band of sizes: those with the smallest
+    hashes of their ids, by several hashes, so that few sets meet only such that they don't link with.
     Ids of lists of three and more are given back too, with the bucket: their other pairs may still count."""
 
     def run(key, table):
@@ -296,8 +301,12 @@ def _star(num: int, den: int):
         near = (keys[1:] == keys[:-1]) & (den * n[:-1] >= num * n[1:])
         band = np.floor(np.log(np.maximum(n, 1)) / np.log(den / num)).astype(np.int64)
         cut = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (band[1:] != band[:-1]))))
-        head = np.repeat(np.minimum.reduceat(ids, cut), np.diff(np.append(cut, len(ids))))
-        a, b = _pairs(np.concatenate((ids[:-1][near], head)), np.concatenate((ids[1:][near], ids)))
+        sizes = np.diff(np.append(cut, len(ids)))
+        heads = []
+        for r in range(HEADS):
+            h = mix(ids.view(np.uint64) ^ np.uint64(r))
+            heads.append(np.repeat(ids[h == np.repeat(np.minimum.reduceat(h, cut), sizes)], sizes))
+        a, b = _pairs(np.concatenate((ids[:-1][near], *heads)), np.concatenate((ids[1:][near], *[ids] * HEADS)))
         length = np.diff(np.append(first, len(ids)))
         crowd = np.unique(ids[np.repeat(length > 2, length)])
         return pa.table({
@@ -406,7 +415,7 @@ def _entries(docs: DataFrame, count: int, shared, boundary: int, ids: Ids, num:
                 if len(seen) > 1_000_000:
                     seen.clear()
                 out.add(signatures(s, _prefix(s, frequent, num, den), boundary, num, den), len(s), c)
-                if out.held > 1_000_000:
+                if out.held > HELD:
                     yield from out.rows()
         yield from out.rows()
 
