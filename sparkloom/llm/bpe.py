@@ -18,6 +18,8 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
+from .common import KEPT, lean
+
 #: Distinct pre-tokens that a worker remembers before it starts afresh.
 CACHE = 400_000
 
@@ -231,14 +233,12 @@ class Coder(dict):
         return b"".join(map(self.by_text.__getitem__, ids.split(","))) if ids else b""
 
 
-_HELD: list = [None, None]
-
-
 def _coder(shared) -> Coder:
-    """One coder for each worker process and vocabulary."""
-    if _HELD[0] is not shared:
-        _HELD[:] = [shared, Coder(*shared.value)]
-    return _HELD[1]
+    """One coder for each worker process and vocabulary, until another operator's task begins there."""
+    if "bpe" not in KEPT or KEPT["bpe"][0] is not shared:
+        KEPT.pop("bpe", None)
+        KEPT["bpe"] = shared, Coder(*shared.value)
+    return KEPT["bpe"][1]
 
 
 def load_vocabulary(spark: SparkSession, path: str, pattern: str):
@@ -280,6 +280,6 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, ids: bool =
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(lean(run, "bpe"), schema)
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -161,7 +162,40 @@ def filtered(rows: DataFrame, column: str, shared) -> DataFrame:
         for batch in batches:
             yield in_filter_rows(batch, at, shared.value, True)
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(lean(run), rows.schema)
+
+
+# ---- memory of Python workers, which live on from stage to stage ----
+
+#: What operators keep in a worker from one task to the next, by the operator's name.
+KEPT: dict[str, tuple] = {}
+
+
+def give_back() -> None:
+    """Memory that is free goes back to the system: allocators keep the most that any stage has needed so far."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def begin_task(keeps: str) -> None:
+    """Drop what operators other than ``keeps`` hold in this worker."""
+    for name in [x for x in KEPT if x != keeps]:
+        del KEPT[name]
+    give_back()
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` of a mapInArrow, for a worker that other stages use before and after it: a task finds only what operator
+    ``keeps`` holds, and leaves nothing else."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task(keeps)
+        yield from run(batches)
+        give_back()
+
+    return task
 
 
 # ---- hashing of bytes, words and shingles with numpy (64 bits, wrapping) ----

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, text_words, word_pieces, written
+from .common import KEPT, lean, mix, text_words, word_pieces, written
 
 #: Word edits a word of the item that a match may have: similarity 0.8.
 EDITS_NUM, EDITS_DEN = 1, 5
@@ -167,7 +167,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p) if passes > 1 else items
         words = [(r["item_id"], text_words(r["text"])) for r in part.orderBy("item_id", "text").toLocalIterator()]
         shared = sc.broadcast([(i, w) for i, w in words if len(w)])
-        found = rows.mapInArrow(_search(shared), "doc_id long, item_id long, edits long, end_word long")
+        found = rows.mapInArrow(lean(_search(shared), "decontamination"), "doc_id long, item_id long, edits long, end_word long")
         if passes > 1:  # one pass after the other, each with its items only
             found = written(found, "benchmark-matches")
             shared.destroy()
@@ -175,14 +175,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out
 
 
-_HELD: list = [None, None]
-
-
 def _index(shared) -> Index:
-    """One index for each worker process and benchmark."""
-    if _HELD[0] is not shared:
-        _HELD[:] = [shared, Index(shared.value)]
-    return _HELD[1]
+    """One index for each worker process and benchmark, until another operator's task begins there."""
+    if "decontamination" not in KEPT or KEPT["decontamination"][0] is not shared:
+        KEPT.pop("decontamination", None)
+        KEPT["decontamination"] = shared, Index(shared.value)
+    return KEPT["decontamination"][1]
 
 
 def _search(shared):

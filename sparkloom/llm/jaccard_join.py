@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Table, components, id_filter, in_filter, mix, partitions, shingle_sets, written
+from .common import Table, components, id_filter, in_filter, lean, mix, partitions, shingle_sets, written
 
 #: Threshold as a fraction of integers, shingle length in words.
 NUM, DEN, WORDS = 80, 100, 5
@@ -131,7 +131,7 @@ def features(docs: DataFrame) -> DataFrame:
                     seen.clear()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(cids, pa.int64()), pa.array(others, pa.int64()), pa.array(bits, pa.binary())], names=["doc_id", "n", "cid", "other", "bits"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, cid long, other long, bits binary")
+    return docs.mapInArrow(lean(run), "doc_id long, n long, cid long, other long, bits binary")
 
 
 class _Buckets:
@@ -250,7 +250,7 @@ def frequent_bits(docs: DataFrame, entries: int, num: int, den: int) -> tuple[np
         cells = [np.unique(often[level == x] & np.uint64(MAP - 1)).astype(np.uint32).tobytes() for x in levels]
         return pa.table({"level": pa.array(levels, pa.int32()), "cells": pa.array(cells, pa.binary())})
 
-    rows = docs.mapInArrow(cells, "part int, cells binary, counts binary").groupBy("part").applyInArrow(total, "level int, cells binary")
+    rows = docs.mapInArrow(lean(cells), "part int, cells binary, counts binary").groupBy("part").applyInArrow(total, "level int, cells binary")
     counted = Table(rows, "jaccard-frequent")
     least, total_ = 64, 0
     sizes = {r["level"]: r["cells"] for r in counted.df.where("level >= 0").groupBy("level").agg(F.sum(F.octet_length("cells") / 4).alias("cells")).collect()}
@@ -419,7 +419,7 @@ def _entries(docs: DataFrame, count: int, shared, boundary: int, ids: Ids, num:
                     yield from out.rows()
         yield from out.rows()
 
-    return docs.mapInArrow(run, "bucket int, keys binary, n binary, ids binary")
+    return docs.mapInArrow(lean(run), "bucket int, keys binary, n binary, ids binary")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ids: Ids, num: int, den: int) -> DataFrame:
@@ -431,7 +431,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ids: Ids, nu
             d = np.array([bitmap_distance(x.as_py(), y.as_py()) for x, y in zip(t.column(3), t.column(5), strict=True)], np.int64)
             yield t.select([0, 1]).filter(pa.array(can_link(t.column(2).to_numpy(), t.column(4).to_numpy(), d, num, den)))
 
-    left = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "bitsa", "nb", "bitsb").mapInArrow(hopeful, "a long, b long")
+    left = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "bitsa", "nb", "bitsb").mapInArrow(lean(hopeful), "a long, b long")
     pairs_ = Table(left, "jaccard-pairs")
     left = pairs_.df
     only = docs.sparkSession.sparkContext.broadcast(id_filter(left.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
@@ -450,7 +450,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ids: Ids, nu
             yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(out, pa.binary())], names=["cid", "s"])
 
     wanted = left.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    found = docs.mapInArrow(sets, "cid long, s binary").join(wanted, "cid", "left_semi").groupBy("cid").agg(F.first("s").alias("s"))
+    found = docs.mapInArrow(lean(sets), "cid long, s binary").join(wanted, "cid", "left_semi").groupBy("cid").agg(F.first("s").alias("s"))
     sets_ = Table(found, "jaccard-sets")
     found = sets_.df
 
@@ -466,7 +466,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ids: Ids, nu
             yield t.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     named = lambda x: found.select(F.col("cid").alias(x), F.col("s").alias(f"s{x}"))
-    out = written(left.join(named("a"), "a").join(named("b"), "b").select("a", "b", "sa", "sb").mapInArrow(exact, "a long, b long"), "jaccard-links")
+    out = written(left.join(named("a"), "a").join(named("b"), "b").select("a", "b", "sa", "sb").mapInArrow(lean(exact), "a long, b long"), "jaccard-links")
     pairs_.drop()
     sets_.drop()
     return out

@@ -2,14 +2,14 @@
 
 For each language a suffix automaton of labelled text recognises every substring of it. A text is parsed greedily into
 the longest pieces that a language's automaton has; the language that needs the fewest phrases, normalised by its
-amount of training text, wins. Automata are hash tables of transitions over all letters as they are, and a worker walks
-thousands of text segments in step.
+amount of training text, wins. The automata are one hash table of transitions over all letters as they are, and a worker
+walks thousands of text segments in step, in all languages at once.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -19,10 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import lean
+
 #: Bounds of the training sample: texts and characters of a language, characters taken from the start of one text.
 SAMPLE_TEXTS, SAMPLE_CHARS, TEXT_CHARS = 64, 40_000, 2_000
 #: A text is parsed in segments of so many characters; each begins a phrase.
 SEGMENT = 2048
+#: Symbols of the texts that are parsed at once, longer texts excepted: 32 MB, however many rows a batch has.
+PIECE = 1 << 22
+#: Segments times languages that are walked in step.
+LANES = 1 << 16
 
 _LETTERS: np.ndarray | None = None
 
@@ -82,13 +88,19 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 class Table:
-    """The transitions of an automaton, hashed with linear probing: three a symbol at the most, whatever the alphabet."""
-
-    def __init__(self, symbols: list[int]) -> None:
-        nexts = suffix_automaton(symbols)
-        self.lost = len(nexts)  # where a parse begins and where a symbol that the language lacks leads: it has no transitions
-        key = np.array([s << 21 | c for s, d in enumerate(nexts) for c in d], np.int64)
-        to = np.array([t for d in nexts for t in d.values()], np.int32)
+    """The transitions of the automata of all languages, hashed with linear probing: three a symbol at the most, whatever
+    the alphabet. State 0 is where a parse begins and where a symbol that the language lacks leads: it has no transitions."""
+
+    def __init__(self, languages: list[list[int]]) -> None:
+        keys, tos, starts, base = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [], 1
+        for symbols in languages:
+            nexts = suffix_automaton(symbols)
+            keys.append(np.fromiter((base + s << 21 | c for s, d in enumerate(nexts) for c in d), np.int64))
+            tos.append(np.fromiter((base + t for d in nexts for t in d.values()), np.int32))
+            starts.append(base)
+            base += len(nexts)
+        self.starts = np.array(starts, np.int64)
+        key, to = np.concatenate(keys), np.concatenate(tos)
         bits = max(4, (2 * len(key)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.keys, self.to = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int32)
@@ -103,9 +115,8 @@ class Table:
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
 
-    def find(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """The next state of each; -1: none."""
-        key = state.astype(np.int64) << 21 | symbol
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """The next state of each state << 21 | symbol; -1: none."""
         slot = self._slot(key)
         got = self.keys[slot]
         out = np.where(got == key, self.to[slot], np.int32(-1))
@@ -118,12 +129,11 @@ class Table:
             open_ = open_[~hit & (got != 0)]
         return out
 
-    def step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Next states, and which of the symbols begin a new phrase, from the start: those without a transition."""
-        to = self.find(state, symbol)
+    def step(self, state: np.ndarray, start: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states, and which of the symbols begin a new phrase, from their ``start``: those without a transition."""
+        to = self.find(state.astype(np.int64) << 21 | symbol)
         fresh = np.flatnonzero(to < 0)
-        again = self.find(np.zeros(len(fresh), np.int64), symbol[fresh])
-        to[fresh] = np.where(again < 0, self.lost, again)
+        to[fresh] = np.maximum(self.find(start[fresh] << 21 | symbol[fresh]), 0)
         return to, fresh
 
 
@@ -134,16 +144,16 @@ class Model:
     bits: list[float]  # log2 of the training length: the price of a phrase
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "tables"}
+        return {k: v for k, v in self.__dict__.items() if k != "table"}
 
     @property
     def symbol_of(self) -> np.ndarray:
         return symbols_of_points()
 
     @cached_property
-    def tables(self) -> list[Table]:
-        """Built where they are used, once for each worker; only the symbols travel."""
-        return [Table(x) for x in self.symbols]
+    def table(self) -> Table:
+        """Built where it is used, once for each worker; only the symbols travel."""
+        return Table(self.symbols)
 
 
 def fit(texts: dict[str, list[str]]) -> Model:
@@ -168,61 +178,69 @@ def fit(texts: dict[str, list[str]]) -> Model:
     return Model(languages, symbols, [float(np.log2(max(2, len(joined[x])))) for x in languages])
 
 
-def cross_parse(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each text: phrases by language [texts, languages], symbols, whether it has a letter. Whole texts."""
-    owners, starts, sizes, codes = [], [], [], []
-    n_symbols, has = np.zeros(len(texts), np.int64), np.zeros(len(texts), bool)
-    at = 0
-    for i, t in enumerate(texts):
-        if not t:
-            continue
-        x = points(t)
-        has[i] = letters()[x].any()
-        if not has[i]:
-            continue
-        x = model.symbol_of[x]
-        x = x[np.concatenate(([True], (x[1:] != 1) | (x[:-1] != 1)))]
-        n_symbols[i] = len(x)
-        codes.append(x)
-        for a in range(0, len(x), SEGMENT):
-            owners.append(i)
-            starts.append(at + a)
-            sizes.append(min(SEGMENT, len(x) - a))
-        at += len(x)
-    counts = np.zeros((len(texts), len(model.languages)), np.int64)
-    if not owners:
-        return counts, n_symbols, has
+def _phrases(codes: list[np.ndarray], model: Model) -> np.ndarray:
+    """Phrases [texts, languages] of texts given as symbols."""
+    counts = np.zeros((len(codes), len(model.languages)), np.int64)
+    length = np.fromiter(map(len, codes), np.int64, len(codes))
+    if not length.sum() or not model.languages:
+        return counts
     flat = np.concatenate(codes)
-    order = np.argsort(-np.array(sizes), kind="stable")
-    owner, start, size = np.array(owners)[order], np.array(starts)[order], np.array(sizes)[order]
-    lanes = np.searchsorted(-size, -np.arange(1, size[0] + 1), side="right")  # how many segments have a j-th symbol
-    states = [np.full(len(owner), table.lost, np.int32) for table in model.tables]
-    phrases = [np.zeros(len(owner), np.int32) for _ in model.languages]
-    for j in range(size[0]):
-        k = lanes[j]
-        c = flat[start[:k] + j].astype(np.int64)
-        for s, p, table in zip(states, phrases, model.tables, strict=True):
-            s[:k], fresh = table.step(s[:k], c)
-            p[fresh] += 1
-    for m, p in enumerate(phrases):
-        np.add.at(counts[:, m], owner, p)
-    return counts, n_symbols, has
-
-
-def predict(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:
+    codes.clear()
+    segments = -(-length // SEGMENT)
+    owner = np.repeat(np.arange(len(length)), segments)
+    begin = (np.arange(len(owner)) - np.repeat(np.cumsum(segments) - segments, segments)) * SEGMENT
+    size = np.minimum(SEGMENT, length[owner] - begin)
+    start = (np.cumsum(length) - length)[owner] + begin
+    order = np.argsort(-size, kind="stable")
+    m = len(model.languages)
+    width = max(1, LANES // m)
+    for here in (order[x : x + width] for x in range(0, len(order), width)):
+        first, most = start[here], int(size[here[0]])
+        lanes = np.searchsorted(-size[here], -np.arange(1, most + 1), side="right")  # how many segments have a j-th symbol
+        states, phrases = np.zeros(m * len(here), np.int32), np.zeros(m * len(here), np.int32)  # the languages of a segment side by side
+        starts = np.tile(model.table.starts, len(here))
+        for j in range(most):
+            k = int(lanes[j])
+            states[: m * k], fresh = model.table.step(states[: m * k], starts[: m * k], np.repeat(flat[first[:k] + j].astype(np.int64), m))
+            phrases[fresh] += 1
+        np.add.at(counts, owner[here], phrases.reshape(-1, m))
+    return counts
+
+
+def cross_parse(texts: Iterable[str | None], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text: phrases by language [texts, languages], symbols, whether it has a letter. Whole texts, about PIECE
+    symbols at a time."""
+    counts, n_symbols, has = [], [], []
+    codes, held = [], 0
+    for t in texts:
+        x = points(t or "")
+        has.append(bool(letters()[x].any()))
+        x = model.symbol_of[x if has[-1] else x[:0]]
+        x = x[np.concatenate(([True], (x[1:] != 1) | (x[:-1] != 1)))[: len(x)]]
+        n_symbols.append(len(x))
+        codes.append(x)
+        held += len(x)
+        if held >= PIECE:
+            counts.append(_phrases(codes, model))
+            codes, held = [], 0
+    counts.append(_phrases(codes, model))
+    return np.concatenate(counts), np.array(n_symbols, np.int64), np.array(has, bool)
+
+
+def predict(texts: Iterable[str | None], model: Model) -> tuple[list[str], np.ndarray]:
     """Language and score of each text. Score: how much cheaper the best language's parse is than the second's,
     (second - best) / second, 1 with one language; ties go to the language first by name; ``und`` scores 0."""
     counts, _, has = cross_parse(texts, model)
     if not model.languages:
-        return ["und"] * len(texts), np.zeros(len(texts))
+        return ["und"] * len(has), np.zeros(len(has))
     cost = counts * np.array(model.bits)[None, :]
     best = np.argmin(cost, axis=1)
-    low = cost[np.arange(len(texts)), best]
+    low = cost[np.arange(len(has)), best]
     if cost.shape[1] > 1:
         second = np.partition(cost, 1, axis=1)[:, 1]
         score = np.where(second > 0, (second - low) / np.maximum(second, 1e-300), 0.0)
     else:
-        score = np.ones(len(texts))
+        score = np.ones(len(has))
     return [model.languages[b] if h else "und" for b, h in zip(best, has, strict=True)], np.where(has, score, 0.0)
 
 
@@ -261,8 +279,8 @@ def identify(docs: DataFrame, train: DataFrame | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = predict(batch.column(at).to_pylist(), shared.value)
+            langs, scores = predict((x.as_py() for x in batch.column(at)), shared.value)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import _IS_SPACE, _LOWER, _POWERS, PIECE, Table, filtered, id_filter, in_filter_rows, mix, partitions, word_hashes, written
+from .common import _IS_SPACE, _LOWER, _POWERS, PIECE, Table, filtered, id_filter, in_filter_rows, lean, mix, partitions, word_hashes, written
 
 #: Words of the shortest passage that is cut out.
 MIN_WORDS = 50
@@ -218,7 +218,7 @@ def _decided(rows: DataFrame, entries: Callable, decide: Callable, buckets: int)
             out += batch["blob"].to_pylist()
         return pa.table({"bucket": pa.array(bucket, pa.int32()), "blob": pa.array(out, pa.binary())})
 
-    return rows.mapInArrow(spread, "bucket int, kind int, blob binary").groupBy("bucket").applyInArrow(settle, "bucket int, blob binary")
+    return rows.mapInArrow(lean(spread), "bucket int, kind int, blob binary").groupBy("bucket").applyInArrow(settle, "bucket int, blob binary")
 
 
 def _pieces(texts: list[bytes | None]) -> Iterator[tuple[list[int], Words]]:
@@ -374,4 +374,4 @@ def dedup_substrings(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     added = [T.StructField("n_words", T.LongType()), T.StructField("removed_words", T.LongType()), T.StructField("removed", spans)]
     schema = T.StructType([*docs.schema.fields, *added])
-    return docs.mapInArrow(rewrite, schema).union(some.mapInArrow(rewrite, schema))
+    return docs.mapInArrow(lean(rewrite), schema).union(some.mapInArrow(lean(rewrite), schema))

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -266,6 +267,38 @@ def test_language_id(spark, sf):
     assert long[0] == ["en"]
 
 
+def test_languages_of_large_batches_take_little_memory(monkeypatch):
+    """Texts are parsed a piece at a time, however many a batch has, with the counts that they have at once."""
+    import tracemalloc
+
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcd e!") for _ in range(100)) for _ in range(10_000)] + [None, "", "1"]
+    model = language_id.fit({"x": ["abc cab " * 30], "y": ["bcd dbc " * 30]})
+    whole = language_id.cross_parse(texts, model)
+    monkeypatch.setattr(language_id, "PIECE", 1 << 16, raising=False)
+    monkeypatch.setattr(language_id, "LANES", 1000, raising=False)
+    tracemalloc.start()
+    pieces = language_id.cross_parse(texts, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(np.array_equal(a, b) for a, b in zip(whole, pieces, strict=True))
+    assert peak < 2 << 20  # all symbols at once, twice, are 8 MB
+
+
+def test_tasks_drop_what_other_operators_keep():
+    import weakref
+    from types import SimpleNamespace
+
+    from sparkloom.llm import common
+
+    tokens = [bytes([b]) for b in range(256)]
+    shared = SimpleNamespace(value=(tokens, bpe.PerfectHash(tokens), bpe.KNOWN_PATTERN))
+    coders = lambda _: iter([weakref.ref(bpe._coder(shared))])
+    (first,), (second,) = (list(common.lean(coders, "bpe")(iter([]))) for _ in range(2))
+    assert first() is not None and first() is second()
+    assert list(common.lean(lambda batches: batches)(iter([1, 2]))) == [1, 2] and first() is None
+
+
 def test_words_are_split_at_ascii_space_only():
     from sparkloom.llm.common import text_words
 
