@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def whole_seconds(ts: Column) -> Column:
+    """Seconds since 1970 rounded to whole ones, halves to the even one, as SQL's cast of an epoch does."""
+    return F.rint(F.unix_micros(ts.cast("timestamp")) / 1e6).cast("long")
+
+
 def fold_states(events: DataFrame, key: str, event: str, ts: str, priority: list[tuple[str, str]], start: str) -> DataFrame:
     """State of each key: the first in ``priority`` (event, state) whose event is there, else ``start``. One pre-aggregated pass."""
     flags = events.groupBy(key).agg(*[F.max(F.when(F.col(event) == e, F.col(ts))).alias(f"__{i}") for i, (e, _) in enumerate(priority)])
@@ -24,7 +29,7 @@ def rate_and_eta(events: DataFrame, key: str, ts: str, total: int, hours: float
     """One row: distinct keys done, those of the last hours before the newest event, and hours left at that rate."""
     newest = events.agg(F.max(ts).alias("__now"))
     last = events.crossJoin(F.broadcast(newest))  # one row
-    recent = F.unix_timestamp(ts) > F.unix_timestamp("__now") - F.lit(int(hours * 3600))
+    recent = whole_seconds(F.col(ts)) > whole_seconds(F.col("__now")) - F.lit(int(hours * 3600))
     out = last.agg(F.count_distinct(key).alias("done"), F.count_if(recent).alias("recent"))
     return out.withColumn("eta_hours", F.when(F.col("recent") > 0, F.greatest(F.lit(total) - F.col("done"), F.lit(0)) * F.lit(hours) / F.col("recent")))
 

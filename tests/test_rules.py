@@ -8,6 +8,7 @@ from sparkloom.functions import names as N
 from sparkloom.functions import text as X
 from sparkloom.operators import merge as M
 from sparkloom.operators import sampling as S
+from sparkloom.operators import state as G
 from sparkloom.operators import strata as C
 
 
@@ -113,3 +114,26 @@ def test_empty_tables(spark):
     assert M.latest(empty, ["id"], ["pos"]).count() == 0
     assert S.budget_prefix(empty, ["id"], "status", "size", "pos", 5).count() == 0
     assert S.greedy_budget(empty, ["id"], ["pos"], "size", 5).count() == 0
+
+
+def _events(spark, tmp_path, *stamps):
+    rows = ", ".join(f"({i}L, timestamp_ntz '{t}', 1L, 'view', 0D, '')" for i, t in enumerate(stamps))
+    spark.sql(f"select * from values {rows} as t(event_id, ts, user_id, event_type, value, props)").write.parquet(f"{tmp_path}/events.parquet")
+
+
+def _both(spark, tmp_path, name):
+    import duckdb
+
+    from sparkloom.plans.queries import ORACLE_SQL, QUERIES
+
+    c = duckdb.connect()
+    c.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    return sorted(tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect()), sorted(c.execute(ORACLE_SQL[name]).fetchall())
+
+
+def test_rate_of_fractional_seconds(spark, tmp_path):
+    """Seconds are rounded: the first event is a day before the newest, the others are less."""
+    _events(spark, tmp_path, "2024-01-01 00:00:00.4", "2024-01-01 00:00:00.6", "2024-01-01 00:00:02.5", "2024-01-01 23:59:59.7", "2024-01-02 00:00:00.2")
+    got, want = _both(spark, tmp_path, "q_rate_eta")
+    assert got == want and got[0][:2] == (1, 4)
+    assert G.rate_and_eta(spark.read.parquet(f"{tmp_path}/events.parquet").where("event_id in (0, 4)"), "user_id", "ts", 5).first()["recent"] == 1
