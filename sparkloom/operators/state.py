@@ -37,6 +37,6 @@ def rate_and_eta(events: DataFrame, key: str, ts: str, total: int, hours: float
 def sessions(events: DataFrame, key: str, ts: str, order: str, gap_seconds: int) -> DataFrame:
     """Sessions of each key: runs of events with gaps below ``gap_seconds``."""
     w = Window.partitionBy(key).orderBy(ts, order)
-    new = F.coalesce(F.unix_timestamp(ts) - F.unix_timestamp(F.lag(ts).over(w)) >= gap_seconds, F.lit(True)).cast("int")
+    new = F.coalesce(whole_seconds(F.col(ts)) - whole_seconds(F.lag(ts).over(w)) >= gap_seconds, F.lit(True)).cast("int")
     marked = events.withColumn("session", F.sum(new).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return marked.groupBy(key, "session").agg(F.count("*").alias("n_events"), F.min(ts).alias("started"), F.max(ts).alias("ended"))

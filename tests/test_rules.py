@@ -137,3 +137,10 @@ def test_rate_of_fractional_seconds(spark, tmp_path):
     got, want = _both(spark, tmp_path, "q_rate_eta")
     assert got == want and got[0][:2] == (1, 4)
     assert G.rate_and_eta(spark.read.parquet(f"{tmp_path}/events.parquet").where("event_id in (0, 4)"), "user_id", "ts", 5).first()["recent"] == 1
+
+
+def test_sessions_of_fractional_seconds(spark, tmp_path):
+    """A gap of 5:59:59.6 counts as 6 hours where rounding makes it so, one of 6:00:00.2 doesn't where it doesn't."""
+    _events(spark, tmp_path, "2024-01-01 00:00:00.4", "2024-01-01 06:00:00.0", "2024-01-01 12:00:00.5", "2024-01-01 18:00:01.5", "2024-01-02 00:00:01.4")
+    got, want = _both(spark, tmp_path, "q_sessions")
+    assert got == want
