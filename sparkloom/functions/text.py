@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -38,6 +39,12 @@ SPDX = {
 }
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once for each row, however often the body uses it. Spark shares what occurs twice
+    neither within branches nor where there are lambdas, so without this the cost doubles at every level."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 @F.pandas_udf(T.StringType())
 def unescape_html(s: pd.Series) -> pd.Series:
     """Entities as characters; Spark has no built-in for the full table."""
@@ -85,26 +92,27 @@ def laterality(path: Column) -> Column:
     A lone r or l counts only beside another token, re and le only in the name; two sides in one component are a conflict.
     """
     parts = F.filter(F.split(F.coalesce(path, F.lit("")), r"[\\/]|!/"), lambda p: p != "")
-    n = F.size(parts)
     sides = F.create_map(*[F.lit(x) for kv in SIDES.items() for x in kv])
 
     def found(component: Column, base: Column) -> Column:
         tokens = F.filter(F.split(F.lower(component), "[^a-z0-9]+"), lambda t: t != "")
-        ok = F.filter(tokens, lambda t: F.map_contains_key(sides, t) & ~(t.isin("r", "l") & (F.size(tokens) < 2)) & (~t.isin("re", "le") | base))
-        return F.array_distinct(F.transform(ok, lambda t: sides[t]))
+        ok = lambda ts: F.filter(ts, lambda t: F.map_contains_key(sides, t) & ~(t.isin("r", "l") & (F.size(ts) < 2)) & (~t.isin("re", "le") | base))
+        return once(tokens, lambda ts: F.array_distinct(F.transform(ok(ts), lambda t: sides[t])))
 
-    def component(p: Column, i: Column) -> Column:
+    def component(p: Column, i: Column, n: Column) -> Column:
         base = i == n - 1
         return F.struct(found(F.when(base, F.regexp_replace(p, r"\.[^.]*$", "")).otherwise(p), base).alias("sides"), F.when(base, F.lit("basename")).otherwise(F.lit("dirname")).alias("source"))
 
-    hits = F.filter(F.reverse(F.transform(parts, component)), lambda c: F.size(c["sides"]) > 0)
-    hit = F.get(hits, F.lit(0))
-    single = F.filter(F.coalesce(hit["sides"], F.expr("cast(array() as array<string>)")), lambda s: s != "B")
-    return (
-        F.when(hit.isNull(), F.struct(F.lit("U").alias("side"), F.lit("none").alias("source"), F.lit(False).alias("conflict")))
-        .when(F.size(single) > 1, F.struct(F.lit("U").alias("side"), hit["source"].alias("source"), F.lit(True).alias("conflict")))
-        .otherwise(F.struct(F.coalesce(F.get(single, F.lit(0)), F.lit("B")).alias("side"), hit["source"].alias("source"), F.lit(False).alias("conflict")))
-    )
+    def nearest(ps: Column) -> Column:
+        found = F.transform(ps, lambda p, i: component(p, i, F.size(ps)))
+        return F.get(F.filter(F.reverse(found), lambda c: F.size(c["sides"]) > 0), F.lit(0))
+
+    def answer(hit: Column) -> Column:
+        single = F.filter(hit["sides"], lambda s: s != "B")
+        some = once(single, lambda s: F.when(F.size(s) > 1, F.struct(F.lit("U").alias("side"), hit["source"].alias("source"), F.lit(True).alias("conflict"))).otherwise(F.struct(F.coalesce(F.get(s, F.lit(0)), F.lit("B")).alias("side"), hit["source"].alias("source"), F.lit(False).alias("conflict"))))
+        return F.when(hit.isNull(), F.struct(F.lit("U").alias("side"), F.lit("none").alias("source"), F.lit(False).alias("conflict"))).otherwise(some)
+
+    return once(parts, lambda ps: once(nearest(ps), answer))
 
 
 def glob_regex(glob: str) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names as N
+from ..functions.text import once
 from .strata import EYE_CLASSES, MASK
 
 # Sizes in which a member without extension may be an image; names without extension that are texts.
@@ -23,29 +24,35 @@ PLAIN_SUFFIX = r"^[a-z0-9.]{1,16}$"
 
 def probe_family(name: Column) -> Column:
     """How an archive is probed: split, tar, tar_stream, 7z, rar, zip, other or single; empty for what is none."""
-    kind, ext = N.file_kind(name), N.extension(name)
     table = F.create_map(*[F.lit(x) for kv in FAMILIES.items() for x in kv])
-    return (
-        F.when(N.is_first_part(name) | N.is_fragment(name), "split")
-        .when(kind == "archive", F.coalesce(F.try_element_at(table, ext), F.lit("other")))
-        .when(kind == "compressed", "single")
-        .otherwise("")
-    )
+
+    def family(n: Column, kind: Column) -> Column:
+        return (
+            F.when(N.is_first_part(n) | N.is_fragment(n), "split")
+            .when(kind == "archive", F.coalesce(F.try_element_at(table, N.extension(n)), F.lit("other")))
+            .when(kind == "compressed", "single")
+            .otherwise("")
+        )
+
+    return once(name, lambda n: once(N.file_kind(n), lambda kind: family(n, kind)))
 
 
 def member_signal(name: Column, size: Column, sniffable: Column, image_head: Column | None = None) -> Column:
     """What a listed member stands for: image, nested, noext or nothing (empty). ``sniffable``: whether members without
     extension are read in this format; ``image_head``: whether the first bytes are an image's, null where unread."""
-    kind = N.file_kind(name)
-    open_ = (kind == "noext") & sniffable & ~F.lower(N.base_name(name)).isin(*TEXT_NAMES) & (size >= SNIFFED[0]) & (size < SNIFFED[1])
     head = F.lit(None).cast("boolean") if image_head is None else image_head
-    return (
-        F.when(N.is_junk(name), "")
-        .when(kind.isin(*N.IMAGE_KINDS), "image")
-        .when((kind == "fragment") | (kind.isin("archive", "compressed") & N.nested_worth(name)), "nested")
-        .when(open_, F.when(head.isNull(), "noext").when(head, "image").otherwise(""))
-        .otherwise("")
-    )
+
+    def signal(n: Column, kind: Column) -> Column:
+        open_ = (kind == "noext") & sniffable & ~F.lower(N.base_name(n)).isin(*TEXT_NAMES) & (size >= SNIFFED[0]) & (size < SNIFFED[1])
+        return (
+            F.when(N.is_junk(n), "")
+            .when(kind.isin(*N.IMAGE_KINDS), "image")
+            .when((kind == "fragment") | (kind.isin("archive", "compressed") & N.nested_worth(n)), "nested")
+            .when(open_, F.when(head.isNull(), "noext").when(head, "image").otherwise(""))
+            .otherwise("")
+        )
+
+    return once(name, lambda n: once(N.file_kind(n), lambda kind: signal(n, kind)))
 
 
 def listing(members: DataFrame, archive: list[str], name: str, size: str, position: str, sniffable: Column) -> DataFrame:
@@ -60,12 +67,12 @@ def listing(members: DataFrame, archive: list[str], name: str, size: str, positi
 def headers_of(files: DataFrame, group: list[str], name: str) -> DataFrame:
     """The header that a data file of a volume belongs to: same group and stem in any case; of several the first by the
     order of header kinds."""
-    ext = N.extension(F.col(name))
+    ext = F.col("__ext")
     kinds = list(N.DATA_OF_HEADER)
     data_exts = sorted({e for exts in N.DATA_OF_HEADER.values() for e in exts})
     options = F.create_map(*[x for e in data_exts for x in (F.lit(e), F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(h).alias("ext")) for i, h in enumerate(kinds) if e in N.DATA_OF_HEADER[h]]))])
-    stem = lambda c: F.lower(c.substr(F.lit(1), F.length(c) - F.length(N.extension(c))))
-    data = files.where(ext.isin(*data_exts)).select(*group, F.col(name).alias("data"), stem(F.col(name)).alias("__stem"), F.explode(F.element_at(options, ext)).alias("__o"))
+    stem = F.lower(F.col(name).substr(F.lit(1), F.length(name) - F.length(ext)))
+    data = files.withColumn("__ext", N.extension(F.col(name))).where(ext.isin(*data_exts)).select(*group, F.col(name).alias("data"), stem.alias("__stem"), F.explode(F.element_at(options, ext)).alias("__o"))
     data = data.withColumn("__low", F.concat("__stem", F.col("__o.ext")))
     heads = files.select(*group, F.lower(name).alias("__low"), F.col(name).alias("header"))
     return data.join(heads, [*group, "__low"]).groupBy(*group, "data").agg(F.min_by("header", F.struct(F.col("__o.rank"), "header")).alias("header"))
@@ -82,8 +89,8 @@ def remote_zips(files: DataFrame, group: list[str], name: str) -> DataFrame:
 def scratch_suffix(name: Column) -> Column:
     """The ending that a scratch copy of a member keeps, else empty."""
     low = F.lower(name)
-    ext = N.extension(name)
-    return F.when(low.rlike(r"\.(7z|zip)\.001$"), F.regexp_extract(low, r"(\.(?:7z|zip)\.001)$", 1)).when(ext.rlike(PLAIN_SUFFIX), ext).otherwise("")
+    plain = once(N.extension(name), lambda ext: F.when(ext.rlike(PLAIN_SUFFIX), ext).otherwise(""))
+    return F.when(low.rlike(r"\.(7z|zip)\.001$"), F.regexp_extract(low, r"(\.(?:7z|zip)\.001)$", 1)).otherwise(plain)
 
 
 def colocated(parts: DataFrame, record: list[str], name: str, streamed: str) -> DataFrame:
