@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import rights_id
+from .text import once, rights_id
 
 # Schemes of organisation ids with their URIs; ontology terms of modalities; name of a record's repository;
 # units of TIFF spacing in millimetres; resolutions of screens, which say nothing of the object.
@@ -256,11 +256,15 @@ def envi_header(text: Column) -> Column:
     """``key = value`` lines of an ENVI header as a map with keys in lower case; values in braces may have several lines; of
     repeated keys the last counts."""
     pattern = r"(?m)^[^\S\n]*([^=\n]+?)[^\S\n]*=[^\S\n]*(\{[^}]*\}|[^\n]*)"
-    keys = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda k: F.lower(F.trim(k)))
-    values = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(2)), lambda v: F.trim(F.regexp_replace(F.trim(v), r"^\{+|\}+$", "")))
-    pairs = F.arrays_zip(keys.alias("k"), values.alias("v"))
-    last = F.filter(F.transform(pairs, lambda p, i: F.struct(i.alias("i"), p["k"].alias("k"), p["v"].alias("v"))), lambda p: p["i"] + 1 == F.size(keys) - F.array_position(F.reverse(keys), p["k"]) + 1)
-    return F.map_from_arrays(F.transform(last, lambda p: p["k"]), F.transform(last, lambda p: p["v"]))
+    keys = lambda t: F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(1)), lambda k: F.lower(F.trim(k)))
+    values = lambda t: F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(2)), lambda v: F.trim(F.regexp_replace(F.trim(v), r"^\{+|\}+$", "")))
+    parsed = lambda t: once(keys(t), lambda k: F.struct(k.alias("k"), F.reverse(k).alias("r"), F.size(k).alias("n"), values(t).alias("v")))
+
+    def last(x: Column) -> Column:
+        own = F.transform(x["k"], lambda k, i: F.when(i == x["n"] - F.array_position(x["r"], k), F.struct(k.alias("key"), F.get(x["v"], i).alias("value"))))
+        return F.map_from_entries(F.array_compact(own))
+
+    return once(text, lambda t: once(parsed(t), last))
 
 
 def folder_labels(folders: DataFrame, path: str) -> DataFrame:

@@ -474,8 +474,8 @@ def q_header_values(t: Tables) -> DataFrame:
 @query("""SELECT p_partkey, p_size::VARCHAR AS samples, p_brand || ', b' AS bands, CASE WHEN p_partkey % 2 = 0 THEN 'last' ELSE 'bsq' END AS interleave FROM part""")
 def q_envi_header(t: Tables) -> DataFrame:
     text = F.concat(F.lit("ENVI\n Samples = "), F.col("p_size").cast("string"), F.lit("\nband names={"), "p_brand", F.lit(", b}\ninterleave = bsq\n"), F.when(F.col("p_partkey") % 2 == 0, "interleave = last").otherwise(""))
-    h = D.envi_header(text)
-    return t.part.select("p_partkey", h["samples"].alias("samples"), h["band names"].alias("bands"), h["interleave"].alias("interleave"))
+    h = F.col("h")
+    return t.part.select("p_partkey", D.envi_header(text).alias("h")).select("p_partkey", h["samples"].alias("samples"), h["band names"].alias("bands"), h["interleave"].alias("interleave"))
 
 
 @query("""WITH f AS (SELECT DISTINCT '/data/' || lang || '/' || source || '/results' AS path FROM documents), e AS (SELECT path, k, array_to_string(list_slice(string_split(path[2:], '/'), 4 - k + 1, 4), '/') AS tail FROM f, (SELECT unnest(range(1, 5)) AS k)),
