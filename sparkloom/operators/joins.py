@@ -35,10 +35,10 @@ def companions(files: DataFrame, group: list[str], name: str) -> DataFrame:
 
     A header explodes into its few possible names, so this is an equi-join on (group, lower-case name).
     """
-    ext = extension(F.col(name))
+    ext = F.col("__ext")
     stem = F.lower(F.col(name).substr(F.lit(1), F.length(name) - F.length(ext)))
     options = F.create_map(*[x for h, data in DATA_OF_HEADER.items() for x in (F.lit(h), F.array(*map(F.lit, data)))])
-    headers = files.where(ext.isin(*DATA_OF_HEADER)).select(*group, F.col(name).alias("header"), stem.alias("__stem"), F.posexplode(F.element_at(options, ext)).alias("__rank", "__data"))
+    headers = files.withColumn("__ext", extension(F.col(name))).where(ext.isin(*DATA_OF_HEADER)).select(*group, F.col(name).alias("header"), stem.alias("__stem"), F.posexplode(F.element_at(options, ext)).alias("__rank", "__data"))
     headers = headers.withColumn("__low", F.concat("__stem", "__data"))
     data = files.select(*group, F.lower(name).alias("__low"), F.col(name).alias("data"))
     return headers.join(data, [*group, "__low"]).groupBy(*group, "header").agg(F.min_by("data", F.struct("__rank", "data")).alias("data"))

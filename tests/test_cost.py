@@ -14,6 +14,8 @@ def plan(spark, sf, name):
 LIMITS = {
     "q_probe_listing": 40_000,
     "q_envi_header": 4_000,
+    "q_companion": 6_000,
+    "q_header_of": 6_000,
 }
 
 
