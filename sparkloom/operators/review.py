@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.text import once
+
 # Classes that are often wrong when they are alone, the statuses that are looked at, and limits.
 DOUBTFUL_CLASSES = ("OCTA", "PSC")
 REVIEWED_STATUSES = ("ok", "ok_partial_download")
@@ -113,30 +115,53 @@ def classes_present(counts: dict[str, Column], n: Column, least: float) -> Colum
     return _texts(*[((F.coalesce(c, F.lit(0)) >= 1) & (n > 0) & (c / F.when(n > 0, n) >= least), F.lit(name)) for name, c in counts.items()])
 
 
+def beginnings(pattern: str) -> list[str]:
+    """The plain text that each alternative of a pattern begins with. A text without any of them has no match."""
+    out = []
+    for part in re.split(r"\|(?![^(]*\))", pattern):
+        plain, rest = re.match(r"(?:\\b)?((?:[a-z0-9 -]|\\\.)+)(.?)", part).groups()
+        plain = plain.replace("\\", "")
+        out.append(plain[:-1] if rest and rest in "?*{" else plain)
+    if not all(out):
+        raise ValueError("an alternative has no plain beginning")
+    return out
+
+
 def maker_hints(text: Column, names: Column) -> Column:
     """array<struct(manufacturer, model, matched, source)>: makers by the endings of file names, then by words of the text, then
     of the names; each maker once but for endings. Of the names the first NAMES_READ count."""
-    names = F.coalesce(names, F.expr(NO_TEXTS))
-    hay = {"text": F.lower(F.coalesce(text, F.lit(""))), "filename": F.lower(F.array_join(F.slice(names, 1, NAMES_READ), " "))}
+    plain = F.coalesce(names, F.expr(NO_TEXTS))
     hint = lambda maker, model, matched, source: F.struct(F.lit(maker).alias("manufacturer"), model.alias("model"), matched.alias("matched"), F.lit(source).alias("source"))
-    found, seen = [], {}
-    for ending, maker in MAKER_OF_ENDING:
-        ends = "[^/]" + re.escape(ending) + "$"
-        n = F.size(F.filter(names, lambda x: F.lower(x).rlike(ends)))  # noqa: B023  called at once
-        found.append(F.when(n > 0, hint(maker, F.lit(""), F.concat(F.lit(f"{ending} x"), n.cast("string")), "extension")))
-        seen[maker] = seen.get(maker, F.lit(False)) | (n > 0)
-    for maker, pattern, models in MAKERS:
-        tries = []
-        for source, h in hay.items():
-            hit = F.regexp_extract(h, pattern, 0)
+    ends = lambda e: lambda x: x.endswith(e) & (F.length(x) > len(e)) & ~x.endswith("/" + e)
+
+    def counted(low: Column) -> Column:
+        counts = [F.size(F.filter(low, ends(e))).alias(f"n{i}") for i, (e, _) in enumerate(MAKER_OF_ENDING)]
+        return F.struct(*counts, F.lower(F.coalesce(text, F.lit(""))).alias("text"), F.array_join(F.slice(low, 1, NAMES_READ), " ").alias("filename"))
+
+    def word(maker: str, pattern: str, models: tuple[tuple[str, str], ...], source: str, h: Column) -> Column:
+        def said(hit: Column) -> Column:
             ok = hit != ""
             if maker in WEAK_WORDS:
                 weak, beside = WEAK_WORDS[maker]
                 ok = ok & (~F.replace(hit, F.lit(" "), F.lit("-")).isin(*weak) | h.rlike(beside))
-            model = reduce(lambda c, m, h=h: F.when(h.contains(m[0]), F.lit(m[1])).otherwise(c), reversed(models), F.lit(""))
-            tries.append(F.when(ok, hint(maker, model, F.substring(hit, 1, MATCH_CHARS), source)))
-        found.append(F.when(~seen.get(maker, F.lit(False)), F.coalesce(*tries)))
-    return F.array_compact(F.array(*found))
+            model = reduce(lambda c, m: F.when(h.contains(m[0]), F.lit(m[1])).otherwise(c), reversed(models), F.lit(""))
+            return F.when(ok, hint(maker, model, F.substring(hit, 1, MATCH_CHARS), source))
+
+        near = reduce(lambda a, b: a | b, [h.contains(x) for x in beginnings(pattern)])
+        return F.when(near, once(F.regexp_extract(h, pattern, 0), said))
+
+    def found(x: Column) -> Column:
+        out, seen = [], {}
+        for i, (ending, maker) in enumerate(MAKER_OF_ENDING):
+            n = x[f"n{i}"]
+            out.append(F.when(n > 0, hint(maker, F.lit(""), F.concat(F.lit(f"{ending} x"), n.cast("string")), "extension")))
+            seen[maker] = seen.get(maker, F.lit(False)) | (n > 0)
+        for maker, pattern, models in MAKERS:
+            tries = [word(maker, pattern, models, source, x[source]) for source in ("text", "filename")]
+            out.append(F.when(~seen.get(maker, F.lit(False)), F.coalesce(*tries)))
+        return F.array_compact(F.array(*out))
+
+    return once(F.transform(plain, lambda n: F.lower(n)), lambda low: once(counted(low), found))
 
 
 def octa_slab(paths: Column, text: Column) -> Column:

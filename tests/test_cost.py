@@ -2,6 +2,7 @@
 
 import pytest
 
+from sparkloom.operators import review as R
 from sparkloom.plans import queries as Q
 from sparkloom.plans import records  # noqa: F401  registers its queries
 
@@ -22,3 +23,10 @@ LIMITS = {
 @pytest.mark.parametrize("name", sorted(LIMITS))
 def test_plan_is_small(name, spark, sf):
     assert len(plan(spark, sf, name)) <= LIMITS[name]
+
+
+def test_maker_words_are_searched_once(spark, sf):
+    """Each maker's pattern is searched once in the text and once in the names."""
+    assert plan(spark, sf, "q_maker_hints").count("regexp_extract(") == 2 * len(R.MAKERS)
+    for _, pattern, _ in R.MAKERS:
+        assert all(R.beginnings(pattern))
