@@ -17,6 +17,7 @@ LIMITS = {
     "q_envi_header": 4_000,
     "q_companion": 6_000,
     "q_header_of": 6_000,
+    "q_probe_names": 60_000,
 }
 
 
