@@ -18,6 +18,7 @@ LIMITS = {
     "q_companion": 6_000,
     "q_header_of": 6_000,
     "q_probe_names": 60_000,
+    "q_file_ext_kind": 10_000,
 }
 
 
