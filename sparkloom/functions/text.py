@@ -23,6 +23,7 @@ TRAIN_OK = r"(?i)^(cc0|cc-zero|cc-by(-sa)?(-[0-9]\.[0-9])?|odc-by|pddl|odc-pddl|
 NC_ND = r"(?i)(^|-)(nc|nd)(-|$)"
 # Words for the side of the eye.
 SIDES = {"od": "R", "re": "R", "right": "R", "r": "R", "os": "L", "le": "L", "left": "L", "l": "L", "ou": "B", "both": "B", "bilateral": "B"}
+ANY_SIDE = f"(?i)(?:^|[^a-z0-9])(?:{'|'.join(SIDES)})(?:[^a-z0-9]|$)"
 # Canonical spelling of licence ids that aren't their own lower case.
 SPDX = {
     **{s.lower(): s for s in (
@@ -91,11 +92,13 @@ def laterality(path: Column) -> Column:
 
     A lone r or l counts only beside another token, re and le only in the name; two sides in one component are a conflict.
     """
-    parts = F.filter(F.split(F.coalesce(path, F.lit("")), r"[\\/]|!/"), lambda p: p != "")
+    folders = F.replace(F.replace(path, F.lit("!/"), F.lit("/")), F.lit("\\"), F.lit("/"))
+    parts = F.filter(F.split(folders, "/"), lambda p: p != "")
+    none = F.struct(F.lit("U").alias("side"), F.lit("none").alias("source"), F.lit(False).alias("conflict"))
     sides = F.create_map(*[F.lit(x) for kv in SIDES.items() for x in kv])
 
     def found(component: Column, base: Column) -> Column:
-        tokens = F.filter(F.split(F.lower(component), "[^a-z0-9]+"), lambda t: t != "")
+        tokens = F.regexp_extract_all(F.lower(component), F.lit("([a-z0-9]+)"), F.lit(1))
         ok = lambda ts: F.filter(ts, lambda t: F.map_contains_key(sides, t) & ~(t.isin("r", "l") & (F.size(ts) < 2)) & (~t.isin("re", "le") | base))
         return once(tokens, lambda ts: F.array_distinct(F.transform(ok(ts), lambda t: sides[t])))
 
@@ -110,9 +113,9 @@ def laterality(path: Column) -> Column:
     def answer(hit: Column) -> Column:
         single = F.filter(hit["sides"], lambda s: s != "B")
         some = once(single, lambda s: F.when(F.size(s) > 1, F.struct(F.lit("U").alias("side"), hit["source"].alias("source"), F.lit(True).alias("conflict"))).otherwise(F.struct(F.coalesce(F.get(s, F.lit(0)), F.lit("B")).alias("side"), hit["source"].alias("source"), F.lit(False).alias("conflict"))))
-        return F.when(hit.isNull(), F.struct(F.lit("U").alias("side"), F.lit("none").alias("source"), F.lit(False).alias("conflict"))).otherwise(some)
+        return F.when(hit.isNull(), none).otherwise(some)
 
-    return once(parts, lambda ps: once(nearest(ps), answer))
+    return F.when(path.rlike(ANY_SIDE), once(parts, lambda ps: once(nearest(ps), answer))).otherwise(none)
 
 
 def glob_regex(glob: str) -> str:

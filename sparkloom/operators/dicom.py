@@ -77,14 +77,20 @@ def modality_of(cls: Column) -> Column:
 
 def top_values(rows: DataFrame, record: list[str], position: str, columns: dict[str, int]) -> DataFrame:
     """For each record a text ``a (5); b (2)`` of the most frequent values of each column, up to its number; ties by first
-    appearance; nulls and empty texts don't count."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns]))
-    counts = rows.select(*record, position, pairs.alias("p")).where("p.value <> ''").groupBy(*record, "p.name", "p.value").agg(F.count("*").alias("n"), F.min(position).alias("first"))
+    appearance; nulls and empty texts don't count.
+
+    Rows that are alike are counted before they move; then all rows of a record are in one task, and ranking moves nothing."""
+    names = list(columns)
+    alike = rows.groupBy(*record, *[F.col(c).cast("string").alias(c) for c in names]).agg(F.count("*").alias("__n"), F.min(position).alias("__first"))
+    alike = alike.repartition(*[F.col(c) for c in record])
+    pairs = F.explode(F.array(*[F.when(F.col(c) != "", F.struct(F.lit(i).alias("name"), F.col(c).alias("value"))) for i, c in enumerate(names)]))
+    counts = alike.select(*record, "__n", "__first", pairs.alias("p")).where("p is not null").groupBy(*record, "p.name", "p.value").agg(F.sum("__n").alias("n"), F.min("__first").alias("first"))
     best = counts.withColumn("rank", F.row_number().over(Window.partitionBy(*record, "name").orderBy(F.desc("n"), "first"))).where(F.col("rank") <= max(columns.values()))
-    best = best.where(" or ".join(f"(name = '{c}' and rank <= {n})" for c, n in columns.items()))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "value", "n"))), lambda x: F.concat(x["value"], F.lit(" ("), x["n"].cast("string"), F.lit(")"))), "; ")
-    named = best.groupBy(*record, "name").agg(text.alias("text"))
-    return named.groupBy(*record).agg(F.map_from_entries(F.collect_list(F.struct("name", "text"))).alias("m")).select(*record, *[F.coalesce(F.try_element_at("m", F.lit(c)), F.lit("")).alias(c) for c in columns])
+    best = best.where(" or ".join(f"(name = {i} and rank <= {n})" for i, n in enumerate(columns.values())))
+    said = F.concat("value", F.lit(" ("), F.col("n").cast("string"), F.lit(")"))
+    kept = best.groupBy(*record).agg(F.array_sort(F.collect_list(F.struct("name", "rank", said.alias("text")))).alias("kept"))
+    of = lambda i: F.array_join(F.transform(F.filter("kept", lambda x: x["name"] == i), lambda x: x["text"]), "; ")
+    return kept.select(*record, *[of(i).alias(c) for i, c in enumerate(names)])
 
 
 def record_rollup(images: DataFrame, record: list[str], position: str) -> DataFrame:
@@ -99,6 +105,8 @@ def record_rollup(images: DataFrame, record: list[str], position: str) -> DataFr
     sets = top_values(rows, record, position, tops)
     side = laterality(F.col("path"))
     own = F.when(F.upper("header_side").isin("R", "L", "B"), F.upper("header_side"))
+    rows = rows.withColumns({"__side": side, "__own": own})  # once for each row
+    side, own = F.col("__side"), F.col("__own")
     rows = rows.withColumns({"side": F.coalesce(own, side["side"]), "side_source": F.when(own.isNotNull(), "dicom_header").otherwise(side["source"]), "conflict": own.isNull() & side["conflict"]})
     header = F.col("header_modality").isNotNull()
     expected = modality_of(F.col("cls"))

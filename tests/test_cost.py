@@ -13,6 +13,7 @@ def plan(spark, sf, name):
 
 #: Characters of the optimised plan.
 LIMITS = {
+    "q_dicom_rollup": 20_000,
     "q_probe_listing": 40_000,
     "q_envi_header": 4_000,
     "q_companion": 6_000,
